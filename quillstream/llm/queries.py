@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, language_id, licenses, packing, token_counts
+from . import exact_dedup, html_text, language_id, licenses, packing, substring_dedup, suffix_dedup, token_counts
 from .core import table
 
 
@@ -15,6 +15,16 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.with_digest(packing.pack(table(spark, sf_dir, "documents")))
 
@@ -38,6 +48,6 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op5_packing, op6_exact_dedup, op8_html_text, op9_token_counts, op10_license_scan)
+    f.__name__: f for f in (op2_language_id, op3_substring_dedup, op4_suffix_dedup, op5_packing, op6_exact_dedup, op8_html_text, op9_token_counts, op10_license_scan)
 }
 ORACLE: dict[str, str] = {"op6_exact_dedup": exact_dedup.ORACLE_SQL}
