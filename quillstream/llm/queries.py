@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, language_id, licenses, packing, substring_dedup, suffix_dedup, token_counts
+from . import exact_dedup, html_text, jaccard_join, language_id, licenses, packing, substring_dedup, suffix_dedup, token_counts
 from .core import table
 
 
@@ -33,6 +33,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_documents(table(spark, sf_dir, "documents"))
+
+
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     found = html_text.extract(pages, html_text.fit_on(pages))
@@ -48,6 +52,6 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op3_substring_dedup, op4_suffix_dedup, op5_packing, op6_exact_dedup, op8_html_text, op9_token_counts, op10_license_scan)
+    f.__name__: f for f in (op2_language_id, op3_substring_dedup, op4_suffix_dedup, op5_packing, op6_exact_dedup, op7_jaccard_join, op8_html_text, op9_token_counts, op10_license_scan)
 }
 ORACLE: dict[str, str] = {"op6_exact_dedup": exact_dedup.ORACLE_SQL}
