@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstream.llm import core, exact_dedup, language_id, packing
+from quillstream.llm import core, decontamination, exact_dedup, jaccard_join, language_id, packing
 
 #: SQL cannot express the learned classifier or the tokenizer; the tests compare run() with a brute-force version.
 ORACLE_SQL = None
@@ -22,11 +22,22 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return exact_dedup.keep_first(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each component of documents linked by the n-gram Jaccard join the smallest doc_id stays."""
+    return jaccard_join.keep_one(docs)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item, exactly or with a few word edits, go."""
+    return decontamination.keep_clean(docs, core.table(spark, sf_dir, "benchmark"))
+
+
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of the documents, packed into sequences."""
     return packing.with_digest(packing.pack(docs))
 
 
-STAGES = [("language ID", languages), ("exact dedup", exact_copies), ("packing", packed)]
+STAGES = [("language ID", languages), ("exact dedup", exact_copies), ("n-gram Jaccard join", near_copies), ("benchmark decontamination", decontaminated), ("packing", packed)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

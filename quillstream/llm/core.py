@@ -74,9 +74,9 @@ def slices(offsets: np.ndarray, most: int = CHUNK):
         i = min(j, n)
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, space: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of all words, and for each document the index of its first word (n + 1)."""
-    inside = ~SPACE[data]
+    inside = ~space[data]
     begins, last = inside.copy(), inside.copy()
     begins[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]

@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, html_text, jaccard_join, language_id, licenses, packing, substring_dedup, suffix_dedup, token_counts
+from . import decontamination, exact_dedup, html_text, jaccard_join, language_id, licenses, packing, substring_dedup, suffix_dedup, token_counts
 from .core import table
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict_documents(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,6 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_language_id, op3_substring_dedup, op4_suffix_dedup, op5_packing, op6_exact_dedup, op7_jaccard_join, op8_html_text, op9_token_counts, op10_license_scan)
+    f.__name__: f for f in (op1_decontamination, op2_language_id, op3_substring_dedup, op4_suffix_dedup, op5_packing, op6_exact_dedup, op7_jaccard_join, op8_html_text, op9_token_counts, op10_license_scan)
 }
 ORACLE: dict[str, str] = {"op6_exact_dedup": exact_dedup.ORACLE_SQL}
