@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 import numpy as np
@@ -110,11 +111,18 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
-    """The rows as a table in the shared folder, which outlives executors and cuts the lineage."""
-    spark = df.sparkSession
+    """The rows as a table in the shared folder, which outlives executors and cuts the lineage.
+
+    The shuffle files behind the rows are of no more use; Spark's cleaner removes them once their plan is collected as
+    garbage, so collection is asked for here instead of letting finished phases fill the disks.
+    """
+    spark, schema = df.sparkSession, df.schema
     path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    del df
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
