@@ -3,8 +3,9 @@
 1. Each window is represented by its anchor, the smallest hash among its grams of `gram` symbols. Consecutive windows of
    one anchor form a run. Equal windows have equal anchors at equal offsets, so repeats meet if runs are dealt out by anchor.
    A run is kept once for each task, with a list of its later copies, so a hot passage costs a task one row.
-2. Of equal runs all but the first go. Anchors with one distinct run are thus done. The runs of the others are fetched as
-   text, whatever their number, and handed to a solver (suffix subtrees, or merged Burrows-Wheeler transforms) that returns
+2. Of equal runs all but the first go. Anchors with one distinct run are thus done. Of the others, two runs can share a window
+   only if they agree on half of what a window holds beside the anchor, to its left or to its right; a hash of each side shows
+   which do. The runs that agree with another are fetched as text, whatever their number, and handed to a solver (suffix subtrees, or merged Burrows-Wheeler transforms) that returns
    classes of equal windows. In each class all but the first window go.
 3. Windows that go are joined to their documents.
 
@@ -26,7 +27,7 @@ from . import core
 _LOW = np.uint64((1 << 24) - 1)
 #: Window starts taken at once from one long document.
 SEGMENT = 1 << 22
-RUNS = "a long, c long, n int, d long, h int, s int, more binary"
+RUNS = "a long, c long, sides long, n int, d long, h int, s int, more binary"
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -39,15 +40,18 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs_of(symbols: np.ndarray, bounds: np.ndarray, length: int, gram: int):
-    """(document, start, windows, anchor, content hash) of all runs; bounds: first symbol of each document, and the end."""
+    """(document, start, windows, anchor, content hash, side hashes) of all runs; bounds: first symbol of each document, and the end.
+
+    Side hashes: 32 bits of the anchor with its left half context, and 32 bits of it with its right one.
+    """
     n = len(symbols)
     if n < length:
-        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64))
+        return tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.uint64))
     if n > 2 * SEGMENT and len(bounds) == 2:
         parts = []
         for i in range(0, n - length + 1, SEGMENT):
-            doc, s, k, a, c = runs_of(symbols[i : i + SEGMENT + length - 1], np.array([0, min(n - i, SEGMENT + length - 1)]), length, gram)
-            parts.append((doc, s + i, k, a, c))
+            doc, s, k, a, c, x = runs_of(symbols[i : i + SEGMENT + length - 1], np.array([0, min(n - i, SEGMENT + length - 1)]), length, gram)
+            parts.append((doc, s + i, k, a, c, x))
         return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
     hashed = core.Hasher(symbols)
     at = np.arange(n - gram + 1)
@@ -60,8 +64,13 @@ def runs_of(symbols: np.ndarray, bounds: np.ndarray, length: int, gram: int):
     start = np.flatnonzero(opens)
     stops = np.append(np.flatnonzero(opens | ~valid), len(anchors))
     count = stops[np.searchsorted(stops, start, "right")] - start
-    doc = owner[start]
-    return doc, start - bounds[doc], count, grams[anchors[start]], hashed.of(start, start + count - 1 + length)
+    doc, at = owner[start], anchors[start]
+    content, half = hashed.of(start, start + count - 1 + length), (length - gram + 1) // 2
+    # Where a document ends before half a context, that side agrees with nothing.
+    left = np.where(at - half >= bounds[doc], hashed.of(np.maximum(at - half, 0), at + gram), content)
+    right = np.where(at + gram + half <= bounds[doc + 1], hashed.of(at, np.minimum(at + gram + half, n)), content)
+    sides = (left & ~np.uint64(0xFFFFFFFF)) | (right >> np.uint64(32))
+    return doc, start - bounds[doc], count, grams[at], content, sides
 
 
 class Words:
@@ -96,23 +105,23 @@ def find_runs(texts: DataFrame, kind, length: int, gram: int) -> DataFrame:
             d, h = batch.column("d").to_numpy(), batch.column("h").to_numpy()
             found = []
             for i, j in core.slices(offsets):
-                doc, s, n, a, c = runs_of(*kind.symbols(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]), length, gram)
-                found.append((a.view(np.int64), c.view(np.int64), n, d[i + doc], h[i + doc], s))
+                doc, s, n, a, c, x = runs_of(*kind.symbols(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]), length, gram)
+                found.append((a.view(np.int64), c.view(np.int64), n, d[i + doc], h[i + doc], s, x.view(np.int64)))
             if not found:
                 continue
-            a, c, n, d, h, s = (np.concatenate(x) for x in zip(*found, strict=True))
+            a, c, n, d, h, s, sides = (np.concatenate(x) for x in zip(*found, strict=True))
             if not len(a):
                 continue
             order = np.lexsort((s, d, a, c))
-            a, c, n, d, h, s = (x[order] for x in (a, c, n, d, h, s))
+            a, c, n, d, h, s, sides = (x[order] for x in (a, c, n, d, h, s, sides))
             first = np.append(True, (c[1:] != c[:-1]) | (a[1:] != a[:-1]))
             rest = np.ascontiguousarray(np.stack([d, h, s], 1)[~first]).tobytes()
             head = np.flatnonzero(first)
             ends = (np.cumsum(~first)[np.append(head[1:], len(a)) - 1]) * 24
             more = pa.BinaryArray.from_buffers(pa.large_binary(), len(head), [None, pa.py_buffer(np.append(0, ends).astype(np.int64)), pa.py_buffer(rest)]).cast(pa.binary())
             back = np.argsort(order[head], kind="stable")  # in reading order, which compresses better
-            columns = [pa.array(x[head][back]) for x in (a, c)] + [pa.array(n[head][back], pa.int32()), pa.array(d[head][back]), pa.array(h[head][back], pa.int32()), pa.array(s[head][back], pa.int32()), more.take(pa.array(back))]
-            whole = pa.RecordBatch.from_arrays(columns, names=["a", "c", "n", "d", "h", "s", "more"])
+            columns = [pa.array(x[head][back]) for x in (a, c, sides)] + [pa.array(n[head][back], pa.int32()), pa.array(d[head][back]), pa.array(h[head][back], pa.int32()), pa.array(s[head][back], pa.int32()), more.take(pa.array(back))]
+            whole = pa.RecordBatch.from_arrays(columns, names=["a", "c", "sides", "n", "d", "h", "s", "more"])
             for i in range(0, len(head), 1 << 16):
                 yield whole.slice(i, 1 << 16)
 
@@ -142,6 +151,15 @@ def whole_groups(batches, key: str, most_rows: int, most_bytes: int = 1 << 23):
             yield table
 
 
+def agrees(group: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Whether another member of the group has the same value."""
+    order = np.lexsort((value, group))
+    same = (group[order][1:] == group[order][:-1]) & (value[order][1:] == value[order][:-1])
+    out = np.zeros(len(group), bool)
+    out[order] = np.append(same, False) | np.append(False, same)
+    return out
+
+
 def compare_runs(runs: DataFrame) -> DataFrame:
     """(d, h, s, n, a, open): later copies of equal runs, to be removed; and, open, the first of each run of an anchor with several."""
 
@@ -156,6 +174,8 @@ def compare_runs(runs: DataFrame) -> DataFrame:
             group = np.cumsum(first) - 1
             anchor = np.append(True, a[head][1:] != a[head][:-1])
             several = np.diff(np.append(np.flatnonzero(anchor), len(head)))[np.cumsum(anchor) - 1] > 1
+            sides = table.column("sides").to_numpy()[order][head]
+            several &= agrees(np.cumsum(anchor), sides >> 32) | agrees(np.cumsum(anchor), sides & 0xFFFFFFFF)
             lists = pa.Array.from_buffers(pa.binary(), len(more), more.buffers(), offset=more.offset)
             flat = np.frombuffer(b"".join(x.as_py() for x in lists if x.is_valid and len(x.as_buffer())), np.int64).reshape(-1, 3)
             size = np.diff(np.frombuffer(lists.buffers()[1], np.int32)[lists.offset : lists.offset + len(lists) + 1]) // 24
@@ -201,7 +221,7 @@ def solve(bodies: DataFrame, solver: Callable[[list[bytes], list[int], int], np.
     """Spans (d, h, s, n) of windows that also start earlier; solver(bodies, counts, length) gives each window's class."""
 
     def run(batches):
-        for table in whole_groups(batches, "a", 1 << 20, 1 << 22):
+        for table in whole_groups(batches, "a", 1 << 20, 1 << 20):
             a, d, h, s, n = (table.column(x).to_numpy().astype(np.int64) for x in ("a", "d", "h", "s", "n"))
             classes = solver(table.column("body").to_pylist(), n.tolist(), length)
             of = np.repeat(np.arange(len(n)), n)

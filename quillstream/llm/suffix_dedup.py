@@ -5,7 +5,7 @@ own; the transforms are merged by iterative interleave refinement: a vector says
 transform comes. Each round walks it, takes each shard's next symbols in order, and sorts them stably, so that after r rounds the
 rows are in the order of their first r symbols. Borders between rows of unequal prefixes appear in the round that equals their
 common prefix plus one; rows without a border after `length` bytes form the repeated intervals. No suffix is sorted
-again. Symbols are pairs of bytes, taken at both parities, which halves the rounds.
+again. Symbols are four bytes (or two), taken at each offset, which divides the rounds by as much.
 
 A text is UTF-8 bytes; matches never cross documents. Every byte covered by a string of `length` bytes that also starts
 earlier (smaller id, or same document and earlier start) goes; overlaps count. Nulls: a null text is empty; a null id counts as
@@ -25,23 +25,28 @@ from . import core, repeats
 def shard_transform(symbols: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array of strings laid end to end, each closed by its own end symbol (0), and the transform.
 
-    `ends`: where the end symbols are. The symbol before a string's first is its end symbol.
+    `ends`: where the end symbols are. The symbol before a string's first is its end symbol. By prefix doubling; only suffixes
+    that still share their rank are sorted again.
     """
     n = len(symbols)
-    rank = symbols.astype(np.int64)
-    rank[ends] = np.arange(len(ends)) - len(ends)  # end symbols are less than others, and in the order of the strings
+    rank = symbols.astype(np.int64) + len(ends)
+    rank[ends] = np.arange(len(ends))  # end symbols are less than others, and in the order of the strings
     order = np.argsort(rank, kind="stable")
     stop = np.repeat(ends, np.diff(np.append(-1, ends)))
+    new = np.append(True, np.diff(rank[order]) != 0)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))  # of a block: its first place
     step = 1
     while True:
-        key = rank[order]
-        rank = np.empty(n, np.int64)
-        rank[order] = np.cumsum(np.append(0, key[1:] != key[:-1]))
-        if rank[order[-1]] == n - 1:
+        tied = np.flatnonzero(~(new & np.append(new[1:], True)))
+        if not len(tied):
             break
-        beyond = np.minimum(np.arange(n) + step, stop)
-        rank = rank * n + rank[beyond]
-        order = np.argsort(rank, kind="stable")
+        own = order[tied]
+        block, beyond = rank[own], rank[np.minimum(own + step, stop[own])]
+        sub = np.argsort(block * n + beyond, kind="stable")
+        own, block, beyond = own[sub], block[sub], beyond[sub]
+        order[tied] = own
+        new[tied] = np.append(True, (block[1:] != block[:-1]) | (beyond[1:] != beyond[:-1]))
+        rank[own] = np.maximum.accumulate(np.where(new[tied], tied, 0))
         step *= 2
     return order, before(symbols, ends)[order]
 
@@ -54,68 +59,64 @@ def before(x: np.ndarray, ends: np.ndarray) -> np.ndarray:
     return out
 
 
-def merge(shards: list[tuple[np.ndarray, np.ndarray]], strings: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of the shards in merged order of their first `rounds` symbols, and the interval of each.
+def merge(shards: list[np.ndarray], strings: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Interleave of the shards' transforms after `rounds` rounds (the shard of each row), and the interval of each row.
 
-    shards: (transform, ends first: number of strings); strings: the shard of each string, in the merged order of the ends.
+    strings: the shard of each string, in the merged order of their end symbols.
     """
-    base = np.cumsum([0] + [len(b) for b, _ in shards])
-    transform = np.concatenate([b for b, _ in shards])
-    z = np.concatenate([np.full(len(b), k, np.uint8) for k, (b, _) in enumerate(shards)])
+    z = np.repeat(np.arange(len(shards), dtype=np.uint8), [len(b) for b in shards])
     border = np.zeros(len(z), bool)
     border[0] = True
-    rows = np.empty(len(z), np.int64)
+    symbol = np.empty(len(z), shards[0].dtype)
     for _ in range(rounds):
-        for k in range(len(shards)):
-            at = np.flatnonzero(z == k)
-            rows[at] = base[k] + np.arange(len(at))
-        symbol = transform[rows]
-        rest = np.flatnonzero(symbol)
-        order = rest[np.argsort(symbol[rest], kind="stable")]
-        interval = np.cumsum(border)[order]
-        symbol = symbol[order]
-        z = np.concatenate([strings, z[order]])
-        border = np.concatenate([np.ones(len(strings), bool), [True] * bool(len(order)), (symbol[1:] != symbol[:-1]) | (interval[1:] != interval[:-1])])
-    for k in range(len(shards)):
-        at = np.flatnonzero(z == k)
-        rows[at] = base[k] + np.arange(len(at))
-    return rows, np.cumsum(border)
+        for k, transform in enumerate(shards):
+            symbol[z == k] = transform
+        order = np.argsort(symbol, kind="stable")[len(strings) :]  # the end symbols come first
+        along, interval = symbol[order], np.cumsum(border, dtype=np.int32)[order]
+        z[len(strings) :] = z[order]
+        z[: len(strings)] = strings
+        border[: len(strings) + 1] = True
+        np.logical_or(along[1:] != along[:-1], interval[1:] != interval[:-1], out=border[len(strings) + 1 :])
+    return z, np.cumsum(border, dtype=np.int32)
 
 
 def solver(bodies: list[bytes], counts: list[int], length: int, n_shards: int = 2) -> np.ndarray:
-    """Classes of equal windows of `length` bytes (even), from the merged transforms of the shards."""
-    step = 2 if length % 2 == 0 else 1
+    """Classes of equal windows of `length` bytes, from the merged transforms of the shards."""
     sizes = np.array([len(b) for b in bodies])
-    data = np.frombuffer(b"".join(bodies), np.uint8).astype(np.int64) + 1
+    data = np.frombuffer(b"".join(bodies), np.uint8)
     first = np.cumsum(sizes) - sizes
-    # A string for each parity of the start; what it holds beyond its last window's end is left out.
-    laid, stops, origin, shard = [], [], [], []
-    for p in range(step):
-        for k, (f, m) in enumerate(zip(first.tolist(), sizes.tolist(), strict=True)):
-            at = np.arange(f + p, f + m - step + 1, step)
-            if len(at):
-                laid.append(at)
-                shard.append(k % n_shards)
-    symbols = [data[at] if step == 1 else data[at] * 257 + data[at + 1] for at in laid]
-    dense, codes = np.unique(np.concatenate(symbols), return_inverse=True)
-    codes = (codes + 1).astype(np.uint16 if len(dense) < 65535 else np.uint32)
-    cut = np.cumsum([len(s) for s in symbols])
-    codes, shard = np.split(codes, cut[:-1]), np.array(shard, np.uint8)
-    parts, origin = [], []
-    for z in range(n_shards):
-        own = np.flatnonzero(shard == z)
-        if len(own):
-            flat = np.concatenate([np.append(codes[i], codes[i].dtype.type(0)) for i in own])
-            stops = np.cumsum([len(codes[i]) + 1 for i in own]) - 1
-            place = np.concatenate([np.append(laid[i], -1) for i in own])
-            order, transform = shard_transform(flat, stops)
-            parts.append((transform, len(own)))
-            origin.append(place[order])
-    index = np.cumsum(np.isin(np.arange(n_shards), shard)) - 1
-    rows, interval = merge(parts, index[shard].astype(np.uint8), length // step)
-    place = np.concatenate(origin)[rows]
+    for step in (4, 2, 1):
+        if length % step:
+            continue
+        # A symbol at each place; those that reach beyond their string are laid nowhere.
+        symbols = np.zeros(len(data), np.uint32)
+        for j in range(step):
+            symbols[: len(data) - j] = symbols[: len(data) - j] << np.uint32(8) | data[j:]
+        dense, codes = np.unique(symbols, return_inverse=True)
+        if len(dense) < 65535 or step == 1:
+            break
+    codes = (codes + 1).astype(np.uint16)
+    # A string for each offset of the start within a symbol.
+    n = np.concatenate([np.maximum(sizes - p, 0) // step for p in range(step)])
+    start = np.concatenate([first + p for p in range(step)])[n > 0]
+    shard = np.tile(np.arange(len(sizes)) % n_shards, step)[n > 0]
+    n = n[n > 0]
+    used = np.unique(shard)
+    transforms, places = [], []
+    for z in used:
+        own = shard == z
+        size = n[own] + 1
+        stops = np.cumsum(size) - 1
+        place = np.repeat(start[own], size) + step * (np.arange(stops[-1] + 1) - np.repeat(stops + 1 - size, size))
+        place[stops] = -1
+        order, transform = shard_transform(np.where(place < 0, np.uint16(0), codes[place]), stops)
+        transforms.append(transform)
+        places.append(place[order])
+    z, interval = merge(transforms, np.searchsorted(used, shard).astype(np.uint8), length // step)
     found = np.full(len(data), -1, np.int64)
-    found[place[place >= 0]] = interval[place >= 0]
+    for k, place in enumerate(places):
+        own = interval[z == k]
+        found[place[place >= 0]] = own[place >= 0]
     n = np.array(counts)
     of = np.repeat(np.arange(len(n)), n)
     return found[np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + first[of]]

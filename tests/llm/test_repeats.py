@@ -117,5 +117,5 @@ def test_solvers_agree_with_equal_windows():
 def test_long_documents_are_cut_into_segments(monkeypatch):
     monkeypatch.setattr(repeats, "SEGMENT", 64)
     symbols = np.random.default_rng(7).integers(0, 1 << 60, 1000).astype(np.uint64)
-    doc, s, n, _, _ = repeats.runs_of(symbols, np.array([0, 1000]), 20, 5)
+    doc, s, n, *_ = repeats.runs_of(symbols, np.array([0, 1000]), 20, 5)
     assert sorted(i for a, k in zip(s, n) for i in range(a, a + k)) == list(range(981))
