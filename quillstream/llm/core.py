@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 import numpy as np
@@ -120,8 +121,10 @@ def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
     del df
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the scheduler lets go of a finished job a moment after its end
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -214,7 +214,8 @@ def fetch(texts: DataFrame, asked: DataFrame, kind, length: int) -> DataFrame:
                 types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out[i : i + 4096], strict=True), types, strict=True)], names=["a", "d", "h", "s", "n", "body"])
 
-    return texts.select("d", "h", "t").join(wanted, ["d", "h"], "left").mapInArrow(run, "a long, d long, h int, s int, n int, body binary")
+    # All columns of the texts, so that this exchange of the texts also serves the join in removals().
+    return texts.join(wanted, ["d", "h"], "left").mapInArrow(run, "a long, d long, h int, s int, n int, body binary")
 
 
 def solve(bodies: DataFrame, solver: Callable[[list[bytes], list[int], int], np.ndarray], length: int) -> DataFrame:
