@@ -9,8 +9,9 @@ their sets' Jaccard similarity is at least `percent` / 100. Equal sets are one c
    shingle. Where many sets meet, only pairs with a few centres are tried first.
 3. Verification: the order is cut into `FRAGMENTS` fragments; a set's part in each is a row of its own; the overlap of a pair is
    counted in each fragment separately and summed per pair.
-4. The links' components become labels. Then every remaining candidate pair with different labels is verified, so no
-   link between different components is lost, while pairs within a component need not be tried.
+4. The links' components become labels. Further rounds try other centres, only across labels. Then every remaining candidate
+   pair with different labels is verified, so no link between different components is lost, while pairs within a component
+   need not be tried.
 
 Sets are compared by 64-bit hashes of their shingles. Nulls: a null or empty text has an empty set, linked with nothing; a null id
 counts as the largest and is returned as null. Rows of one id are linked by their sets like others. An empty table gives
@@ -27,7 +28,9 @@ from pyspark.sql import functions as F
 from . import components, core
 from .repeats import whole_groups
 
-REPORT, FREQUENT, FRAGMENTS, CENTRES, SALTS = 3, 1 << 17, 8, 2, 32
+REPORT, FREQUENT, FRAGMENTS, SALTS = 2, 1 << 20, 4, 32
+#: How many centres a bucket has in each round of star-shaped trials; what is left is tried pair by pair.
+ROUNDS = (2, 4, 8)
 NO_ID = (1 << 63) - 1
 
 
@@ -139,9 +142,9 @@ def may_link(n1, p1, n2, p2, percent: int):
     return 1 + np.minimum(n1 - p1 - 1, n2 - p2 - 1) >= need
 
 
-def centres_of(e: np.ndarray) -> list[int]:
+def centres_of(e: np.ndarray, first: int, count: int) -> list[int]:
     """Places of a bucket's centres: the least of a few scrambled orders of its sets, alike in every bucket with these sets."""
-    return sorted({int(np.argmin(core.mix(e.view(np.uint64) + np.uint64(977 * (k + 1))))) for k in range(CENTRES)})
+    return sorted({int(np.argmin(core.mix(e.view(np.uint64) + np.uint64(977 * (k + 1))))) for k in range(first, first + count)})
 
 
 def bucket_members(rows: DataFrame) -> DataFrame:
@@ -162,55 +165,51 @@ def bucket_members(rows: DataFrame) -> DataFrame:
     return rows.repartition("tok").sortWithinPartitions("tok").mapInArrow(run, "tok long, e long, n int, pos int")
 
 
-def candidates(members: DataFrame, percent: int, rest: bool) -> DataFrame:
-    """Pairs (x, y, nx, ny), x < y. Not rest: those with a bucket's centres; rest: the others with different labels."""
+def candidates(members: DataFrame, percent: int, first: int = 0, centres: int = 0) -> DataFrame:
+    """Pairs (x, y, nx, ny), x < y, with different labels: those with each bucket's centres, or all if `centres` is 0."""
 
     def run(batches):
         for table in whole_groups(batches, "tok", 1 << 17):
-            tok, e, n, pos = (table.column(x).to_numpy() for x in ("tok", "e", "n", "pos"))
-            label = table.column("label").to_numpy() if rest else e
+            tok, e, n, pos, label = (table.column(x).to_numpy() for x in ("tok", "e", "n", "pos", "label"))
             order = np.lexsort((e, tok))
             tok, e, n, pos, label = tok[order], e[order], n[order].astype(np.int64), pos[order].astype(np.int64), label[order]
             bound = np.append(np.flatnonzero(np.append(True, tok[1:] != tok[:-1])), len(tok)).tolist()
-            seen: set[tuple[int, int]] = set()
-            out: list[np.ndarray] = []
+            held: list[np.ndarray] = []
+            size = 0
             for i, j in zip(bound[:-1], bound[1:], strict=True):
-                if j - i < 2 or rest and (label[i:j] == label[i]).all():
+                if j - i < 2 or (label[i:j] == label[i]).all():
                     continue
-                centres = centres_of(e[i:j]) if j - i > 3 else range(j - i)
-                if not rest:
-                    for c in centres:
-                        k = i + c
-                        ok = may_link(n[i:j], pos[i:j], n[k], pos[k], percent)
-                        ok[c] = False
-                        at = i + np.flatnonzero(ok)
-                        out.append(np.stack([np.full(len(at), k), at], 1))
-                else:
-                    star = np.zeros(j - i, bool)
-                    star[list(centres)] = True
-                    for c in range(j - i - 1):
-                        k = i + c
-                        ok = may_link(n[k + 1 : j], pos[k + 1 : j], n[k], pos[k], percent) & (label[k + 1 : j] != label[k]) & ~star[c + 1 :] & ~star[c]
-                        at = k + 1 + np.flatnonzero(ok)
-                        if len(at):
-                            out.append(np.stack([np.full(len(at), k), at], 1))
-            if out:
-                p = np.concatenate(out)
-                p = np.where((e[p[:, 0]] < e[p[:, 1]])[:, None], p, p[:, ::-1])
-                x, y = e[p[:, 0]], e[p[:, 1]]
-                o = np.lexsort((y, x))
-                new = o[np.append(True, (np.diff(x[o]) != 0) | (np.diff(y[o]) != 0))] if len(o) else o
-                p = p[new]
+                for c in centres_of(e[i:j], first, centres) if centres and j - i > centres else range(j - i - 1):
+                    k, low = i + c, i if centres and j - i > centres else i + c + 1
+                    at = low + np.flatnonzero(may_link(n[low:j], pos[low:j], n[k], pos[k], percent) & (label[low:j] != label[k]))
+                    if len(at):
+                        held.append(np.stack([np.full(len(at), k), at], 1))
+                        size += len(at)
+                if size >= 1 << 18:
+                    held, size = [distinct(np.concatenate(held), e)], 0
+            if held:
+                p = distinct(np.concatenate(held), e)
                 for i in range(0, len(p), 1 << 16):
                     q = p[i : i + (1 << 16)]
                     yield pa.RecordBatch.from_arrays([pa.array(e[q[:, 0]]), pa.array(e[q[:, 1]]), pa.array(n[q[:, 0]]), pa.array(n[q[:, 1]])], names=["x", "y", "nx", "ny"])
 
-    if rest:
-        members = members.repartition("tok")
-    found = members.sortWithinPartitions("tok").mapInArrow(run, "x long, y long, nx long, ny long")
+    def distinct(p, e):
+        p = np.where((e[p[:, 0]] < e[p[:, 1]])[:, None], p, p[:, ::-1])
+        x, y = e[p[:, 0]], e[p[:, 1]]
+        o = np.lexsort((y, x))
+        return p[o[np.append(True, (np.diff(x[o]) != 0) | (np.diff(y[o]) != 0))]]
+
+    found = members.repartition("tok").sortWithinPartitions("tok").mapInArrow(run, "x long, y long, nx long, ny long")
     return found.groupBy("x", "y").agg(F.first("nx").alias("nx"), F.first("ny").alias("ny"))
 
 
+def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of the buckets that still hold several labels, with their labels."""
+    labelled = members.select("tok", "e", "n", "pos").join(labels.withColumnRenamed("v", "e"), "e", "left").withColumn("label", F.coalesce("label", "e"))
+    several = labelled.groupBy("tok").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b").select("tok")
+    return labelled.join(several, "tok", "left_semi")
+
+
 def fragments(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     """(e, f, part): the part of each wanted set in each fragment of the order. wanted: (d, e)."""
 
@@ -248,27 +247,36 @@ def join_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
 
     counted = core.written(census(texts, words))
     documents = counted.where("doc").select("id", F.coalesce("id", F.lit(NO_ID)).alias("d"), "e", "n").withColumn("salt", F.pmod(F.hash("d"), F.lit(SALTS)))
-    frequent = counted.where("NOT doc").groupBy("e").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "e").limit(FREQUENT).collect()
-    order = spark.sparkContext.broadcast(Order(np.array([r["e"] for r in frequent], np.int64), np.array([r["n"] for r in frequent], np.int64)))
+    frequent = counted.where("NOT doc").groupBy("e").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "e").limit(FREQUENT).toArrow()
+    order = spark.sparkContext.broadcast(Order(frequent.column("e").to_numpy(), frequent.column("n").to_numpy()))
 
     sets = core.written(documents.where("n > 0").groupBy("e").agg(F.min("d").alias("d"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salts")))
-    members = core.written(bucket_members(prefixes(texts, order, words, percent)))
-
-    pairs = core.written(candidates(members.repartition("tok"), percent, rest=False))
-    linked = pairs.select(F.col("x").alias("e")).union(pairs.select("y")).distinct()
-    parts = core.written(fragments(texts, linked.join(sets, "e").select("d", "e"), words))
-    links = core.written(verified(pairs, parts, percent))
-    labels = components.components(links)
-
-    labelled = members.join(labels.withColumnRenamed("v", "e"), "e", "left").withColumn("label", F.coalesce("label", "e"))
-    others = core.written(candidates(labelled, percent, rest=True).join(pairs, ["x", "y"], "left_anti"))
-    if others.limit(1).count():
-        have = parts.select("e").distinct()
-        lacking = others.select(F.col("x").alias("e")).union(others.select("y")).distinct().join(have, "e", "left_anti")
-        if lacking.limit(1).count():
-            parts = parts.unionByName(core.written(fragments(texts, lacking.join(sets, "e").select("d", "e"), words)))
-        links = links.unionByName(core.written(verified(others, parts, percent)))
-        labels = components.components(links)
+    members = core.written(bucket_members(prefixes(texts, order, words, percent)).withColumn("label", F.col("e")))
+
+    def ends(pairs):
+        return pairs.select(F.col("x").alias("e")).union(pairs.select("y")).distinct()
+
+    def wanted(found):
+        return core.written(fragments(texts, found.join(sets, "e").select("d", "e"), words))
+
+    tried = parts = links = labels = None
+    first = 0
+    for centres in (*ROUNDS, 0):
+        pairs = candidates(members, percent, first, centres)
+        pairs = core.written(pairs if tried is None else pairs.join(tried, ["x", "y"], "left_anti"))
+        first += centres
+        if pairs.limit(1).count():
+            if parts is None:
+                parts = wanted(ends(pairs))
+            elif (lacking := ends(pairs).join(parts.select("e").distinct(), "e", "left_anti")).limit(1).count():
+                parts = parts.unionByName(wanted(lacking))
+            found = core.written(verified(pairs, parts, percent))
+            links = found if links is None else links.unionByName(found)
+            labels = components.components(links)
+            tried = pairs.select("x", "y") if tried is None else tried.unionByName(pairs.select("x", "y"))
+            if centres:
+                members = core.written(unresolved(members, labels))
+    labels = spark.createDataFrame([], "v long, label long") if labels is None else labels
 
     whole = sets.join(labels.withColumnRenamed("v", "e"), "e", "left").withColumn("label", F.coalesce("label", "e"))
     least = whole.groupBy("label").agg(F.min("d").alias("component"))
