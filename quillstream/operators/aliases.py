@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import ordinals
+from . import ordinals, staging
 
 
 def expand(entries: DataFrame) -> DataFrame:
@@ -18,15 +18,16 @@ def expand(entries: DataFrame) -> DataFrame:
 def resolve(vocabulary: DataFrame, most_hops: int = 32) -> DataFrame:
     """(key_idx, target_idx) of (word, idx, shortcuts): each word's first shortcut, followed while it has one itself.
 
-    Chains are followed by pointer doubling, so `most_hops` hops take log2(most_hops) joins and a cycle ends there: its
-    words are left out.
+    Chains are followed by a recursive query; the depth cap ends a cycle, whose words are left out.
     """
     first = vocabulary.where(F.size("shortcuts") > 0).select("word", F.col("shortcuts")[0].alias("target"))
-    jumps = first
-    for _ in range(max(1, most_hops.bit_length() - 1)):
-        beyond = jumps.select(F.col("word").alias("_w"), F.col("target").alias("_t"))
-        jumps = jumps.join(beyond, jumps["target"] == beyond["_w"], "left").select("word", F.coalesce("_t", "target").alias("target"))
-    ended = jumps.join(first.select(F.col("word").alias("target")), "target", "left_anti")
+    chain = """
+        WITH RECURSIVE hop(word, target, k) AS (
+          SELECT word, target, 1 FROM {first}
+          UNION ALL SELECT hop.word, f.target, k + 1 FROM hop JOIN {first} f ON f.word = hop.target WHERE k < {most_hops})
+        SELECT word, target FROM hop"""
+    hops = first.sparkSession.sql(chain, first=first, most_hops=most_hops)
+    ended = hops.join(first.select(F.col("word").alias("target")), "target", "left_anti")
     key = vocabulary.select("word", F.col("idx").alias("key_idx"))
     goal = vocabulary.select(F.col("word").alias("target"), F.col("idx").alias("target_idx"))
     return ended.join(key, "word").join(goal, "target").select("key_idx", "target_idx")
@@ -34,7 +35,7 @@ def resolve(vocabulary: DataFrame, most_hops: int = 32) -> DataFrame:
 
 def build(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(word, idx, freq, code, shortcuts) and the aliases of dictionary entries."""
-    vocabulary = ordinals.quantise(ordinals.word_order(expand(entries)))
+    vocabulary = staging.staged(ordinals.quantise(ordinals.word_order(expand(entries))))
     return vocabulary, resolve(vocabulary)
 
 

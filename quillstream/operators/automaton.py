@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import ordinals
+from . import ordinals, staging
 
 
 def prefixes(words: DataFrame) -> DataFrame:
@@ -21,7 +21,7 @@ def states(words: DataFrame) -> DataFrame:
     suffixes of the root. One grouping per level; the number of levels is the longest word's bytes.
     """
     all_prefixes = prefixes(words).select("prefix", (F.col("prefix") == F.col("h")).alias("word")).groupBy("prefix").agg(F.max("word").alias("word"))
-    all_prefixes = all_prefixes.withColumn("n", (F.length("prefix") / 2).cast("int"))
+    all_prefixes = staging.staged(all_prefixes.withColumn("n", (F.length("prefix") / 2).cast("int")))
     longest = all_prefixes.agg(F.max("n")).collect()[0][0] or 0
     done, below = None, None
     for n in range(longest, -1, -1):
@@ -32,6 +32,7 @@ def states(words: DataFrame) -> DataFrame:
             level = level.select("prefix", "word", F.coalesce("state", F.lit("")).alias("state"), F.coalesce("n_edges", F.lit(0)).cast("long").alias("n_edges"))
         else:
             level = level.select("prefix", "word", F.lit("").alias("state"), F.lit(0).cast("long").alias("n_edges"))
+        level = staging.staged(level)
         done, below = (level if done is None else done.unionByName(level)), level
     return done
 

@@ -71,8 +71,13 @@ def clean_tokens_en(spark, sf_dir):
 #: Tokens that tell the profiles apart; joiners, decomposed letters, marks out of order, punctuation.
 TOKENS = [
     "বাংলা", "বাংলাদেশ", "দুঃখ", "সুতরাং", "চাঁদ", "হাঁটা", "অংশ", "জন্য", "ছয়", "মধযে", "াক", "অণ্", "১২", "ক১", "কাা", "ক্্ক", "কৄা", "abc", "ক" * 21, "ক" * 25, "ক" * 26,
-    "ড়", "ড়", "ড‌়", "কো", "কৌ", "﻿ক", "(ক),", "শব্দ।", " ক ", "ক়্", "ক়্", "ক়্৾", "ক্‍ষ", "‌ক", "য়া", "", "-", "১", "কঁ", "ঁক", "ক়",
 ]
+#: The same as code points: forms apart, joiners, marks out of order, edges.
+TOKEN_CODES = """
+09DC; 09A1 09BC; 09A1 200C 09BC; 09C7 09BE; 09C7 09D7; FEFF 0995; 28 0995 29 2C; 09B6 09AC 09CD 09A6 0964; 2003 0995 A0; 0995 09BC 09CD; 0995 09CD 09BC;
+0995 09FE 09CD 09BC; 0995 09CD 200D 09B7; 200C 0995; 09AF 09BC 09BE; 2D; 09E7; 0995 0981; 0981 0995; 0995 09BC; 0995 0981 0982
+"""
+TOKENS += ["".join(chr(int(c, 16)) for c in codes.split()) for codes in TOKEN_CODES.split(";")] + [""]
 TOKEN_ROWS = [(i, t) for i, t in enumerate(TOKENS)]
 TOKEN_SQL = sql.values(TOKEN_ROWS, "id, token")
 
@@ -287,8 +292,8 @@ def combined_parse(spark, sf_dir):
 
 
 EXPANDED = f"""
-    SELECT word, first(freq ORDER BY at) AS freq, first(target ORDER BY at) AS target FROM (
-      SELECT word, freq, shortcuts[1] AS target, pos * 100 AS at FROM ({ENTRIES})
+    SELECT word, first(freq ORDER BY place) AS freq, first(target ORDER BY place) AS target FROM (
+      SELECT word, freq, shortcuts[1] AS target, pos * 100 AS place FROM ({ENTRIES})
       UNION ALL SELECT shortcuts[i], 1, NULL, pos * 100 + i FROM (SELECT pos, shortcuts, unnest(range(1, len(shortcuts) + 1)) AS i FROM ({ENTRIES})))
     GROUP BY word"""
 VOCABULARY = f"""
