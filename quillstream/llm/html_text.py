@@ -35,6 +35,8 @@ SIDE = re.compile(
     r"menu|nav|navbar|navigation|breadcrumbs?|sidebar|side|rail|widget|related|recommended|share|sharing|social|comments?|replies|reply|disqus|respond|footer|masthead|pagination|pager|toolbar|search|contentinfo|complementary|legal|copyright)(?:$|[\s_-])",
     re.I,
 )
+#: A page's header, as against an article's.
+HEAD = re.compile(r"(?:^|\s)(?:(?:site|page|top|global)[-_]?)?header(?:$|\s)|(?:^|\s)top[-_]?bar(?:$|\s)", re.I)
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
 LOOSE = re.compile(r"<(/?)([a-zA-Z][\w:-]*)([^>]*)>", re.S)
 ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -48,7 +50,8 @@ BOUND = {"link word": -1.0, "side word": -0.05, "side tag": -0.1}
 def is_side(name: str, attributes: str) -> bool:
     if name in BOILERPLATE:
         return True
-    return name not in ("html", "body", "article", "main") and any(SIDE.search(next(x for x in m if x is not None and x != "") if any(m) else "") for m in ATTRIBUTE.findall(attributes))
+    marks = ["".join(m) for m in ATTRIBUTE.findall(attributes)]
+    return name not in ("html", "body", "article", "main") and any(SIDE.search(m) or HEAD.search(m) for m in marks)
 
 
 def parse(page: str) -> list[tuple[str, str, str]]:
@@ -78,9 +81,13 @@ def parse(page: str) -> list[tuple[str, str, str]]:
         name, closing, attributes = m[2].lower(), m[1] == "/", m[3]
         if name in ("article", "main") or not closing and "main" in attributes and re.search(r"role\s*=\s*[\"']?main", attributes):
             article = max(0, article + (-1 if closing else 1))
+            if not closing:
+                side.clear()  # an unclosed container ends where the article begins
             out.append(("label", "out" if not article else "in", ""))
         if name in SILENT and not closing and not attributes.endswith("/"):
             silent = name
+        if side and name in ("p", "li") and not closing and side[-1][0] == name:
+            side.pop()  # these need no closing tag
         if side:
             if name == side[-1][0]:
                 side[-1][1] += -1 if closing else 1

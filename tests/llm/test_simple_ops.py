@@ -112,6 +112,8 @@ def test_html_text(spark, sf_dir):
     want = "Head & line\n\nFirst bold text with several words in it.\n\nSecond paragraph has some more words as well end."
     assert html_text.main_text(PAGE, weights) == html_text.main_text(PAGE, html_text.DEFAULT) == want
     assert html_text.main_text(None, weights) == html_text.main_text("", weights) == html_text.main_text("<p></p>", weights) == ""
+    broken = '<div class="ad">Buy this thing<article><p>One two three four<p class="notice">Not this<p>five six seven &am</article><div class="site-header">Name of site</div>'
+    assert html_text.main_text(broken, weights) == html_text.main_text(broken, html_text.DEFAULT) == "One two three four\n\nfive six seven &am"
     long = "<p>" + "word " * 200000 + "</p>"
     assert html_text.main_text(long, weights) == ("word " * 200000).strip()
     for r in html_text.extract(pages, weights).limit(50).collect():
