@@ -121,10 +121,10 @@ def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
     path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     df.write.option("compression", codec).parquet(path)
     del df
-    for _ in range(2):  # the scheduler lets go of a finished job a moment after its end
+    for wait in (0.2, 0):  # the scheduler lets go of a finished job a moment after its end
         gc.collect()
         spark.sparkContext._jvm.System.gc()
-        time.sleep(0.3)
+        time.sleep(wait)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -7,6 +7,7 @@ their sets' Jaccard similarity is at least `percent` / 100. Equal sets are one c
    that it meets `REPORT` times, and the `FREQUENT` most frequent are ranked. The order only saves work; any order is exact.
 2. Candidates: the first n - ceil(0.8 n) + 1 shingles of a set in that order (two linked sets share one of them), dealt out by
    shingle. Where many sets meet, only pairs with a few centres are tried first.
+   Pairs whose prefixes share too few shingles to link are left out.
 3. Verification: the order is cut into `FRAGMENTS` fragments; a set's part in each is a row of its own; the overlap of a pair is
    counted in each fragment separately and summed per pair.
 4. The links' components become labels. Further rounds try other centres, only across labels. Then every remaining candidate
@@ -203,6 +204,18 @@ def candidates(members: DataFrame, percent: int, first: int = 0, centres: int =
     return found.groupBy("x", "y").agg(F.first("nx").alias("nx"), F.first("ny").alias("ny"))
 
 
+def least_count(shingles: DataFrame) -> int:
+    """The least count for which at most FREQUENT shingles (e, n) are as frequent; from a histogram of at most 4,096 steps."""
+    steps = shingles.groupBy(F.least("n", F.lit(4096)).alias("n")).agg(F.count("*").alias("k")).collect()
+    total, least = 0, 1 << 62
+    for r in sorted(steps, key=lambda r: -r["n"]):
+        total += r["k"]
+        if total > FREQUENT:
+            break
+        least = r["n"]
+    return least
+
+
 def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of the buckets that still hold several labels, with their labels."""
     labelled = members.select("tok", "e", "n", "pos").join(labels.withColumnRenamed("v", "e"), "e", "left").withColumn("label", F.coalesce("label", "e"))
@@ -230,6 +243,18 @@ def fragments(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return texts.select("d", "t").join(by_doc, "d", "left").select("t", "want").mapInArrow(run, "e long, f int, part array<long>")
 
 
+def near_enough(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose prefixes (e, toks) share enough shingles to link.
+
+    Of two linked sets' common shingles, those up to the end of the prefix that ends first are in both prefixes, and at most
+    ceil(percent n / 100) - 1 lie behind it.
+    """
+    left = pairs.join(shared.select(F.col("e").alias("x"), F.col("toks").alias("_tx")), "x")
+    both = left.join(shared.select(F.col("e").alias("y"), F.col("toks").alias("_ty")), "y")
+    need = F.expr(f"({percent} * (nx + ny) + {99 + percent}) div {100 + percent} - ({percent} * greatest(nx, ny) + 99) div 100 + 1")
+    return both.where(F.size(F.array_intersect("_tx", "_ty")) >= need).select("x", "y", "nx", "ny")
+
+
 def verified(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """The pairs that link, by the sum of their overlaps in the fragments."""
     left = pairs.join(parts.select(F.col("e").alias("x"), "f", F.col("part").alias("part_x")), "x")
@@ -247,12 +272,15 @@ def join_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
 
     counted = core.written(census(texts, words))
     documents = counted.where("doc").select("id", F.coalesce("id", F.lit(NO_ID)).alias("d"), "e", "n").withColumn("salt", F.pmod(F.hash("d"), F.lit(SALTS)))
-    frequent = counted.where("NOT doc").groupBy("e").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "e").limit(FREQUENT).toArrow()
+    shingles = core.written(counted.where("NOT doc").groupBy("e").agg(F.sum("n").alias("n")))
+    frequent = shingles.where(F.col("n") >= least_count(shingles)).select("e", "n").toArrow()
     order = spark.sparkContext.broadcast(Order(frequent.column("e").to_numpy(), frequent.column("n").to_numpy()))
 
     sets = core.written(documents.where("n > 0").groupBy("e").agg(F.min("d").alias("d"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salts")))
     members = core.written(bucket_members(prefixes(texts, order, words, percent)).withColumn("label", F.col("e")))
 
+    shared = core.written(members.groupBy("e").agg(F.collect_list("tok").alias("toks")))
+
     def ends(pairs):
         return pairs.select(F.col("x").alias("e")).union(pairs.select("y")).distinct()
 
@@ -265,6 +293,8 @@ def join_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
         pairs = candidates(members, percent, first, centres)
         pairs = core.written(pairs if tried is None else pairs.join(tried, ["x", "y"], "left_anti"))
         first += centres
+        tried = pairs.select("x", "y") if tried is None else tried.unionByName(pairs.select("x", "y"))
+        pairs = core.written(near_enough(pairs, shared, percent))
         if pairs.limit(1).count():
             if parts is None:
                 parts = wanted(ends(pairs))
@@ -273,7 +303,6 @@ def join_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
             found = core.written(verified(pairs, parts, percent))
             links = found if links is None else links.unionByName(found)
             labels = components.components(links)
-            tried = pairs.select("x", "y") if tried is None else tried.unionByName(pairs.select("x", "y"))
             if centres:
                 members = core.written(unresolved(members, labels))
     labels = spark.createDataFrame([], "v long, label long") if labels is None else labels
