@@ -319,3 +319,15 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The documents without a component of smaller id, with all their columns."""
     found = join_documents(docs, words, percent).where("doc_id = component_id OR component_id IS NULL").select(F.col("doc_id").alias("_kept_id")).distinct()
     return docs.join(found, docs["doc_id"].eqNullSafe(found["_kept_id"]), "left_semi")
+
+
+ORACLE_SQL = r"""
+WITH RECURSIVE docs AS (SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda t: t <> '') AS w FROM documents),
+  shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM docs WHERE len(w) > 0)),
+  sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+  links AS (SELECT a.doc_id AS x, b.doc_id AS y FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id JOIN sizes na ON na.doc_id = a.doc_id JOIN sizes nb ON nb.doc_id = b.doc_id
+    GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 80 * (any_value(na.n) + any_value(nb.n) - count(*))),
+  reach(x, y) AS (SELECT x, y FROM links UNION SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, least(d.doc_id, coalesce(min(y), d.doc_id)) AS component_id
+FROM docs d LEFT JOIN sizes USING (doc_id) LEFT JOIN reach ON reach.x = d.doc_id GROUP BY d.doc_id
+"""

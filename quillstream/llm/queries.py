@@ -58,4 +58,4 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_decontamination, op2_language_id, op3_substring_dedup, op4_suffix_dedup, op5_packing, op6_exact_dedup, op7_jaccard_join, op8_html_text, op9_token_counts, op10_license_scan)
 }
-ORACLE: dict[str, str] = {"op6_exact_dedup": exact_dedup.ORACLE_SQL}
+ORACLE: dict[str, str] = {"op3_substring_dedup": substring_dedup.ORACLE_SQL, "op6_exact_dedup": exact_dedup.ORACLE_SQL, "op7_jaccard_join": jaccard_join.ORACLE_SQL}

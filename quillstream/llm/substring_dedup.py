@@ -100,3 +100,14 @@ def remove_repeats(docs: DataFrame, length: int = 20, gram: int = 5, id_col: str
 
     found = rows.select("id", "t", "cut").mapInArrow(run, "id long, n_words long, n_removed long, kept binary")
     return found.select(F.col("id").alias(id_col), "n_words", "n_removed", F.decode("kept", "UTF-8").alias("kept"))
+
+
+ORACLE_SQL = r"""
+WITH docs AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda t: t <> '') AS w FROM documents),
+  windows AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM docs)),
+  later AS (SELECT doc_id, i, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) > 1 AS goes FROM windows),
+  words AS (SELECT doc_id, w[i] AS word, i FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM docs)),
+  marked AS (SELECT doc_id, word, i, max(coalesce(goes, FALSE)) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone FROM words LEFT JOIN later USING (doc_id, i)),
+  kept AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '') AS t FROM marked GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM docs LEFT JOIN kept USING (doc_id)
+"""
