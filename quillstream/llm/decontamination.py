@@ -1,14 +1,12 @@
-"""Operator 1: benchmark decontamination by CGK embedding and bit-sampling LSH, with exact edit verification.
+"""Operator 1: benchmark decontamination by the items' pieces, with exact edit verification.
 
 Texts are words: runs of ASCII letters and digits and of non-ASCII bytes, ASCII letters in lower case. A document is
 contaminated by an item if a stretch of it is within (1 - similarity) * (the item's words) word edits of the item.
 
-The CGK embedding walks along a text: step j emits the symbol at hand and moves on if a random bit of (j, symbol) says so. With equal
-random bits, texts within k edits fall into step again, so their embeddings have a small Hamming distance. Items of
-2^c to 2^(c+1) - 1 words form a class with walks of 1.5 * 2^c steps. Walks start at every sentence-like start and at every
-`stride`-th word of a document, and run over windows as long as the class; a walk serves all classes. For each of `walks`
-independent walks, bands of a few sampled coordinates are looked up among the items' bands. `walks` follows from the recall
-of one walk, measured on edited items (`walks_for`). Each candidate is verified by the exact semi-global edit distance.
+An item with a budget of k edits is cut into k + 1 pieces of about equal length. k edits touch at most k of them, so every
+stretch within the budget holds a piece word for word, at most k words off its place in the item. The pieces are looked up by hash
+at every word of a document, so no stretch is lost, wherever it begins. Windows around the hits that hold too few of the item's
+words are left out; the others are verified by the exact semi-global edit distance.
 
 The items are a stated query set, held in blocks of at most `block` items, so what is broadcast is bounded; documents are only
 mapped, never shuffled. Nulls: a null or empty text or item matches nothing; null or repeated ids keep their rows. Items of fewer than
@@ -34,95 +32,60 @@ SCHEMA = "doc_id long, item_id long, distance int, start_word int, n_words int"
 
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray):
-    """(hash of each word, first word of each document, whether it opens a sentence)."""
+    """(hash of each word, first word of each document)."""
     low = core.lower_ascii(data)
     starts, ends, bounds = core.words(low, offsets, BETWEEN)
-    hashes = core.Hasher(core.byte_symbols(low)).of(starts, ends)
-    first = data[starts]
-    opens = (first >= 65) & (first <= 90) | (first == 0xC3) & (data[np.minimum(starts + 1, len(data) - 1)] <= 0x9E)
-    return hashes, bounds, opens
-
-
-def bands(steps: int) -> list[list[int]]:
-    """Sampled coordinates: bands of four neighbouring ones, three steps apart, spread over the walk."""
-    if steps < 12:
-        return [sorted({0, steps // 3, 2 * steps // 3, steps - 1})]
-    n = max(2, steps // 8)
-    return [[round(b * (steps - 10) / (n - 1)) + 3 * k for k in range(4)] for b in range(n)]
-
-
-class Walker:
-    """CGK walks and their sampled bands, alike for items and documents."""
-
-    def __init__(self, classes: list[int], walks: int, seed: int = 11):
-        self.classes, self.walks = classes, walks
-        self.steps = max((3 << c) // 2 for c in classes)
-        rng = np.random.default_rng(seed)
-        self.turn = rng.integers(0, 1 << 63, (walks, self.steps), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.weight = rng.integers(0, 1 << 63, (walks, self.steps, 16), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.takes: dict[int, list[tuple[int, int]]] = defaultdict(list)
-        self.names = [(c, b) for c in classes for b in range(len(bands((3 << c) // 2)))]
-        for k, (c, b) in enumerate(self.names):
-            for j in bands((3 << c) // 2)[b]:
-                self.takes[j].append((k, c))
-
-    def signatures(self, symbols: np.ndarray, starts: np.ndarray, walk: int) -> list[np.ndarray]:
-        """A signature of each start for each of `names`; symbols end in `steps` zeros."""
-        at = starts.copy()
-        out = [np.zeros(len(starts), np.uint64) for _ in self.names]
-        for j in range(self.steps):
-            x = symbols[at]
-            turned = x * self.turn[walk, j]
-            for k, c in self.takes[j]:
-                out[k] += (turned ^ (turned >> np.uint64(29))) * self.weight[walk, j, c % 16]
-            at += (turned >> np.uint64(63)).view(np.int64)
-        return [core.mix(s) for s in out]
+    return core.Hasher(core.byte_symbols(low)).of(starts, ends), bounds
 
 
 class Items:
-    """The items' words and the tables of their signatures."""
+    """The items' words and, for each length, the table of their pieces."""
 
-    def __init__(self, ids: list, texts: list[str], similarity: float, walks: int, least_words: int):
+    def __init__(self, ids: list, texts: list[str], similarity: float, least_words: int):
+        if similarity <= 0:
+            raise ValueError("similarity must be above 0")
         self.similarity, self.ids, self.words = similarity, [], []
         for i, t in zip(ids, texts, strict=True):
             data = np.frombuffer(t.encode(), np.uint8)
-            hashes, _, _ = word_hashes(data, np.array([0, len(data)])) if len(data) else (np.zeros(0, np.uint64), None, None)
+            hashes = word_hashes(data, np.array([0, len(data)]))[0] if len(data) else np.zeros(0, np.uint64)
             if len(hashes) >= least_words:
                 self.ids.append(i)
                 self.words.append(hashes)
-        by_class = defaultdict(list)
-        for k, w in enumerate(self.words):
-            by_class[len(w).bit_length() - 1].append(k)
         self.sorted = [np.sort(w) for w in self.words]
-        self.walker = Walker(sorted(by_class), walks) if by_class else None
-        self.tables = []
-        for walk in range(walks if by_class else 0):
-            row = []
-            for n, (c, _) in enumerate(self.walker.names):
-                own = np.array(by_class[c])
-                sig = np.array([self.walker.signatures(np.append(self.words[k], np.zeros(self.walker.steps + 1, np.uint64)), np.zeros(1, np.int64), walk)[n][0] for k in own])
-                order = np.argsort(sig, kind="stable")
-                quick = np.zeros(1 << 16, bool)
-                quick[(sig & np.uint64(0xFFFF)).astype(np.int64)] = True
-                row.append((sig[order], own[order], quick))
-            self.tables.append(row)
+        by_length = defaultdict(list)
+        for k, w in enumerate(self.words):
+            cuts = [len(w) * j // (self.edits(k) + 1) for j in range(self.edits(k) + 2)]
+            grams = core.Hasher(w)
+            for i, j in zip(cuts[:-1], cuts[1:], strict=True):
+                by_length[j - i].append((grams.of(np.array([i]), np.array([j]))[0], k, i))
+        self.tables = {}
+        for length, pieces in sorted(by_length.items()):
+            known = np.array([h for h, _, _ in pieces], np.uint64)
+            order = np.argsort(known, kind="stable")
+            quick = np.zeros(1 << min(24, max(16, (16 * len(pieces)).bit_length())), bool)
+            quick[(known & np.uint64(len(quick) - 1)).astype(np.int64)] = True
+            own, place = (np.array([x[c] for x in pieces])[order] for c in (1, 2))
+            self.tables[length] = known[order], own, place, quick
 
     def edits(self, k: int) -> int:
         return math.floor((1 - self.similarity) * len(self.words[k]) + 1e-9)
 
-    def candidates(self, symbols: np.ndarray, starts: np.ndarray):
-        """(start, item) pairs that share a band."""
-        found = set()
-        padded = np.append(symbols, np.zeros(self.walker.steps + 1, np.uint64))
-        for walk, row in enumerate(self.tables):
-            for sig, (known, own, quick) in zip(self.walker.signatures(padded, starts, walk), row, strict=True):
-                hit = np.flatnonzero(quick[(sig & np.uint64(0xFFFF)).astype(np.int64)])
-                if len(hit):
-                    low, high = np.searchsorted(known, sig[hit], "left"), np.searchsorted(known, sig[hit], "right")
-                    for h in np.flatnonzero(high > low):
-                        at = int(starts[hit[h]])
-                        found.update((at, int(k)) for k in own[low[h] : high[h]])
-        return found
+    def hits(self, symbols: np.ndarray, last: np.ndarray):
+        """(item, where it would begin, a word of the piece) of each piece that stands in the symbols; last: the end of each symbol's document."""
+        grams, found = core.Hasher(symbols), []
+        for length, (known, own, place, quick) in self.tables.items():
+            n = len(symbols) - length + 1
+            if n <= 0:
+                continue
+            at = np.arange(n)
+            sig = grams.of(at, at + length)
+            at = np.flatnonzero(quick[(sig & np.uint64(len(quick) - 1)).astype(np.int64)] & (at + length <= last[:n]))
+            low, high = np.searchsorted(known, sig[at], "left"), np.searchsorted(known, sig[at], "right")
+            many = high - low
+            row = np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())
+            at = np.repeat(at, many)
+            found.append((own[row], at - place[row], at))
+        return [np.concatenate(x) for x in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 3
 
 
 def best_match(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
@@ -144,32 +107,54 @@ def best_match(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
     return int(cost[end]), int(begin[end]), end - int(begin[end])
 
 
-def search(data: np.ndarray, offsets: np.ndarray, items: Items, stride: int) -> dict[tuple[int, int], tuple[int, int, int]]:
+def shared_words(symbols: np.ndarray, item: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """How many symbols of each window [low, high) are among those of the sorted item."""
+
+    def member(x):
+        return item[np.minimum(np.searchsorted(item, x), len(item) - 1)] == x
+
+    width = int((high - low).max())
+    if len(low) * width > len(symbols):
+        sums = np.append(0, np.cumsum(member(symbols)))
+        return sums[high] - sums[low]
+    at = low[:, None] + np.arange(width)
+    return (member(symbols[np.minimum(at, len(symbols) - 1)]) & (at < high[:, None])).sum(1)
+
+
+def search(data: np.ndarray, offsets: np.ndarray, items: Items) -> dict[tuple[int, int], tuple[int, int, int]]:
     """{(document, item): (edits, start word, words)} of all contaminated documents."""
-    hashes, bounds, opens = word_hashes(data, offsets)
-    if not len(hashes) or items.walker is None:
-        return {}
-    owner = core.owners(bounds)
-    starts = np.flatnonzero(opens | ((np.arange(len(hashes)) - bounds[owner]) % stride == 0))
+    hashes, bounds = word_hashes(data, offsets)
     found: dict[tuple[int, int], tuple[int, int, int]] = {}
-    done: dict[int, int] = {}
-    for at, k in sorted(items.candidates(hashes, starts), key=lambda x: (x[1], x[0])):
-        item, doc, most = items.words[k], int(owner[at]), items.edits(k)
-        low = max(int(bounds[doc]), at - most - stride)
-        if done.get(k, -1) >= at + stride:  # inside the last window that was verified for this item
-            continue
-        high = min(int(bounds[doc + 1]), at + len(item) + most + 2 * stride)
-        window = hashes[low:high]
-        sorted_item = items.sorted[k]
-        place = np.minimum(np.searchsorted(sorted_item, window), len(sorted_item) - 1)
-        if (sorted_item[place] == window).sum() < len(item) - most:
+    if not len(hashes):
+        return found
+    owner = core.owners(bounds)
+    own, begin, at = items.hits(hashes, bounds[1:][owner])
+    order = np.lexsort((begin, own))
+    own, begin, doc = own[order], begin[order], owner[at[order]]
+    edge = np.append(np.flatnonzero(np.diff(own, prepend=-1)), len(own)).tolist()
+    for i, j in zip(edge[:-1], edge[1:], strict=True):
+        k = int(own[i])
+        item, most, docs = items.words[k], items.edits(k), doc[i:j]
+        low = np.maximum(bounds[docs], begin[i:j] - most)
+        high = np.minimum(bounds[docs + 1], begin[i:j] + len(item) + most)
+        order = np.lexsort((begin[i:j], docs))
+        docs, low, high = docs[order], low[order], high[order]
+        likely = shared_words(hashes, items.sorted[k], low, high) >= len(item) - most
+        docs, low, high = docs[likely], low[likely], high[likely]
+        if not len(docs):
             continue
-        edits, start, n = best_match(item, window)
-        if edits <= most:
-            done[k] = low + start + n - len(item) if n else -1
-            value = (edits, low + start - int(bounds[doc]), n)
-            if value < found.get((doc, k), (1 << 60, 0, 0)):
-                found[doc, k] = value
+        # Windows of a document that overlap are verified as one.
+        head = np.flatnonzero(np.append(True, (docs[1:] != docs[:-1]) | (low[1:] > high[:-1])))
+        for d, first, end in zip(docs[head].tolist(), low[head].tolist(), np.append(high[head[1:] - 1], high[-1]).tolist(), strict=True):
+            if found.get((d, k), (1,))[0] == 0:  # no later place is nearer
+                continue
+            if most == 0 and np.array_equal(hashes[first : first + len(item)], item):
+                edits, start, n = 0, 0, len(item)
+            else:
+                edits, start, n = best_match(item, hashes[first:end])
+            value = (edits, first + start - int(bounds[d]), n)
+            if edits <= most and value < found.get((d, k), (1 << 60, 0, 0)):
+                found[d, k] = value
     return found
 
 
@@ -178,7 +163,7 @@ def walks_for(recall_of_one: float, target: float) -> int:
     return max(1, math.ceil(math.log(1 - target) / math.log(1 - recall_of_one)))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, walks: int = 3, stride: int = 4, least_words: int = 5, block: int = 20000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, least_words: int = 5, block: int = 20000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, distance, start_word, n_words): the nearest stretch of each document to each item that it holds."""
     spark = docs.sparkSession
     items = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text")
@@ -187,14 +172,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     out = None
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
-        held = spark.sparkContext.broadcast(Items([r["item_id"] for r in rows], [r["text"] for r in rows], similarity, walks, least_words))
+        held = spark.sparkContext.broadcast(Items([r["item_id"] for r in rows], [r["text"] for r in rows], similarity, least_words))
 
         def run(batches, held=held):
             for batch in batches:
                 data, offsets = core.text_buffers(batch.column("t"))
                 ids, found = batch.column("doc_id").to_pylist(), []
                 for i, j in core.slices(offsets):
-                    hits = search(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], held.value, stride)
+                    hits = search(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], held.value)
                     found += [(ids[i + doc], held.value.ids[k], *v) for (doc, k), v in sorted(hits.items())]
                 columns = zip(*found, strict=True) if found else [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()], strict=True)], names=["doc_id", "item_id", "distance", "start_word", "n_words"])

@@ -122,3 +122,33 @@ def test_pipeline(spark, sf_dir):
     assert got <= set(clean) and len(got) >= 0.97 * len(clean)
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language ID", "exact dedup", "n-gram Jaccard join", "benchmark decontamination", "packing"]
     assert pytest.approx(0.99, abs=0.03) == len(got) / len(clean)
+
+
+def edited(rng, w, edits, vocab):
+    w = list(w)
+    for _ in range(edits):
+        k, op = rng.randrange(len(w)), rng.random()
+        if op < 0.4:
+            w[k] = rng.choice(vocab)
+        elif op < 0.7 or len(w) == 1:
+            w.insert(k, rng.choice(vocab))
+        else:
+            del w[k]
+    return w
+
+
+def test_every_position_and_the_full_edit_budget(spark, documents):
+    """Lower-case items of 5-60 words at every word position, with none and with all of the edits, as by brute force."""
+    rng = random.Random(4)
+    vocab = [f"v{i}" for i in range(60)] + ["слово", "語"]
+    items = [(n, " ".join(rng.choice(vocab) for _ in range(n))) for n in (5, 6, 7, 9, 10, 15, 30, 60)]
+    rows = []
+    for n, t in items:
+        for position in range(9):
+            for edits in (0, n // 5):
+                w = [rng.choice(vocab) for _ in range(position)] + edited(rng, t.split(), edits, vocab) + [rng.choice(vocab) for _ in range(7)]
+                rows.append((len(rows), " ".join(w)))
+    got = {(r.doc_id, r.item_id): r.distance for r in decontamination.contaminated(documents(rows), items_of(spark, items)).collect()}
+    want = {(d, i): edit_distance(t.split(), x.split()) for d, x in rows for i, t in items}
+    assert got == {k: v for k, v in want.items() if v <= k[1] // 5}
+    assert len(got) >= len(rows)
