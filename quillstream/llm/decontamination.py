@@ -9,9 +9,9 @@ at every word of a document, so no stretch is lost, wherever it begins. Windows
 words are left out; the others are verified by the exact semi-global edit distance.
 
 The items are a stated query set, held in blocks of at most `block` items, so what is broadcast is bounded; documents are only
-mapped, never shuffled. Nulls: a null or empty text or item matches nothing; null or repeated ids keep their rows. Items of fewer than
-`least_words` words are not searched, as they occur by chance. Of equal distances the earliest place is returned. An empty
-table gives an empty result. Other columns are ignored.
+mapped, never shuffled. Nulls: a null or empty text or item matches nothing; null or repeated ids keep their rows. Items
+of a few words have no edit budget (fewer than 5 words at 0.8) and are one piece, so they are found word for word wherever they occur.
+Of equal distances the earliest place is returned. An empty table gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,14 +41,14 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray):
 class Items:
     """The items' words and, for each length, the table of their pieces."""
 
-    def __init__(self, ids: list, texts: list[str], similarity: float, least_words: int):
+    def __init__(self, ids: list, texts: list[str], similarity: float):
         if similarity <= 0:
             raise ValueError("similarity must be above 0")
         self.similarity, self.ids, self.words = similarity, [], []
         for i, t in zip(ids, texts, strict=True):
             data = np.frombuffer(t.encode(), np.uint8)
             hashes = word_hashes(data, np.array([0, len(data)]))[0] if len(data) else np.zeros(0, np.uint64)
-            if len(hashes) >= least_words:
+            if len(hashes):
                 self.ids.append(i)
                 self.words.append(hashes)
         self.sorted = [np.sort(w) for w in self.words]
@@ -159,11 +159,11 @@ def search(data: np.ndarray, offsets: np.ndarray, items: Items) -> dict[tuple[in
 
 
 def walks_for(recall_of_one: float, target: float) -> int:
-    """How many independent walks reach the target recall."""
+    """How many independent walks of a recall reach the target. The search makes no walks: its recall is 1."""
     return max(1, math.ceil(math.log(1 - target) / math.log(1 - recall_of_one)))
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, least_words: int = 5, block: int = 20000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, block: int = 20000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, distance, start_word, n_words): the nearest stretch of each document to each item that it holds."""
     spark = docs.sparkSession
     items = benchmark.where("text IS NOT NULL").select(F.col("item_id").cast("long").alias("item_id"), "text")
@@ -172,7 +172,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8,
     out = None
     for b in range(blocks):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).orderBy("item_id", "text").collect()
-        held = spark.sparkContext.broadcast(Items([r["item_id"] for r in rows], [r["text"] for r in rows], similarity, least_words))
+        held = spark.sparkContext.broadcast(Items([r["item_id"] for r in rows], [r["text"] for r in rows], similarity))
 
         def run(batches, held=held):
             for batch in batches:

@@ -152,3 +152,23 @@ def test_every_position_and_the_full_edit_budget(spark, documents):
     want = {(d, i): edit_distance(t.split(), x.split()) for d, x in rows for i, t in items}
     assert got == {k: v for k, v in want.items() if v <= k[1] // 5}
     assert len(got) >= len(rows)
+
+
+def test_items_of_a_few_words(spark, documents):
+    """Items under 5 words are found word for word; a longer item is not, beyond its edits."""
+    items = items_of(spark, [(1, "Alpha"), (2, "beta gamma"), (3, "delta, alpha beta"), (4, "one two three four"), (5, "..."), (5, "alpha")])
+    rows = [(1, "the ALPHA beta; gamma"), (2, "beta x gamma alphabet"), (3, "x delta alpha beta"), (4, "so one two three four five"), (5, "one two four three"), (6, "beta"), (7, "gamma")]
+    got = sorted((r.doc_id, r.item_id, r.distance, r.start_word, r.n_words) for r in decontamination.contaminated(documents(rows), items).collect())
+    assert got == [(1, 1, 0, 1, 1), (1, 2, 0, 2, 2), (1, 5, 0, 1, 1), (3, 1, 0, 2, 1), (3, 3, 0, 1, 3), (3, 5, 0, 2, 1), (4, 4, 0, 1, 4)]
+
+
+def test_recall_at_the_full_edit_budget():
+    """Every planted copy with all of its edits is found, with the distance of brute force."""
+    rng = random.Random(6)
+    vocab = [f"v{i}" for i in range(2000)]
+    texts = [" ".join(rng.choice(vocab) for _ in range(n)) for n in (5, 8, 15, 20, 30, 45, 60) for _ in range(20)]
+    items = decontamination.Items(list(range(len(texts))), texts, 0.8)
+    docs = [" ".join([*rng.choices(vocab, k=rng.randrange(40)), *edited(rng, t.split(), len(t.split()) // 5, vocab), *rng.choices(vocab, k=20)]) for t in texts]
+    data, offsets = np.frombuffer("".join(docs).encode(), np.uint8), np.cumsum([0] + [len(d) for d in docs])
+    found = decontamination.search(data, offsets, items)
+    assert {(i, i): found[i, i][0] for i in range(len(texts))} == {(i, i): edit_distance(t.split(), d.split()) for i, (t, d) in enumerate(zip(texts, docs, strict=True))}
