@@ -66,8 +66,9 @@ RULES = [
     ("CC0-1.0", ["cc0"]),
     ("All-Rights-Reserved", ["reserved"]),
 ]
-#: A full stop inside a number ("2.0") ends no sentence.
-SENTENCE_END = re.compile(r"[!?;:\n]|\.(?!\d)")
+#: A sentence ends with its stop behind a word and before white space, unless a number follows ("v. 2.0"). Semicolons, colons,
+#: line breaks and the marks of comment lines ("!", ";;", "|") end none, as licences have them inside their sentences.
+SENTENCE_END = re.compile(r"(?<=[\w\"')\]])[.!?]++(?=\W*\s)(?![\W_]*\d)")
 NOT_WORD = re.compile(r"[^a-z0-9]+")
 
 
@@ -83,15 +84,15 @@ def recogniser() -> ahocorasick.Automaton:
     return found
 
 
-#: No known sentence lacks all of these, so a text without them needs no scan.
-MARKS = re.compile(r"licen[sc]e|permission|as is|redistribut|free software|version|reserved|endorse|cc0|obtain|required", re.I)
+#: No known sentence lacks all of these parts of words, so a text without them needs no scan. Each lies within a single word, which
+#: normalising leaves whole.
+MARKS = re.compile(r"license|permission|warranty|redistribut|endorse|cc0|reserved", re.I)
 
 
 def sentence_ids(text: str, known: ahocorasick.Automaton) -> list[str]:
     """The identifiers of the text's known sentences, in order. A line break inside a sentence is a space."""
-    flat = SENTENCE_END.sub(lambda m: " " if m[0] == "\n" else " | ", text)
     out = []
-    for sentence in flat.split(" | "):
+    for sentence in SENTENCE_END.split(text):
         if MARKS.search(sentence):
             # A sentence holds an identifier once; of overlapping ones the longest stays.
             spans = sorted(((end - len(SENTENCES[n]) - 1, end, n) for end, n in known.iter(normalise(sentence))), key=lambda x: (x[0], -x[1]))

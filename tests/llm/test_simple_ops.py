@@ -137,3 +137,43 @@ def test_licenses(spark, documents):
     assert got == sorted([(1, ["MIT"]), (2, ["GPL-3.0"]), (3, []), (4, []), (5, ["CC-BY-NC-4.0", "Apache-2.0"]), (5, []), (6, [])], key=str)
     assert licenses.match(["bsd-grant", "bsd-source", "bsd-binary", "x"]) == ["BSD-2-Clause"]
     assert licenses.scan(documents([])).count() == 0
+
+
+WORDINGS = {
+    "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an "AS IS" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
+    "MIT": 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED "AS\nIS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED.',
+    "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\nlist of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice.\n\n3. Neither the name of the copyright holder nor the names of its contributors\nmay be used to endorse or promote products derived from this software without\nspecific prior written permission.",
+    "BSD-2-Clause": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\nlist of conditions.\n\n2. Redistributions in binary form must reproduce the above copyright\nnotice, this list of conditions.",
+    "GPL-2.0": "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation; either version 2 of the License, or\n(at your option) any later version.",
+    "GPL-3.0": "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at http://mozilla.org/MPL/2.0/.",
+}
+NOTICES = {
+    "Apache-2.0": ["Licensed under the Apache License, Version 2.0."], "MIT": ["Released under the MIT License.", "Licensed under the MIT license."], "GPL-3.0": ["Licensed under the GNU General Public License, version 3."],
+    "GPL-2.0": ["Licensed under the GNU General Public License, version 2."], "LGPL": ["Licensed under the GNU Lesser General Public License."], "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0."],
+    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0."], "CC-BY-4.0": ["Licensed under CC BY 4.0."], "CC0-1.0": ["CC0 1.0 Universal."], "All-Rights-Reserved": ["All rights reserved."],
+}
+
+
+def licences_of(text):
+    return licenses.match(licenses.sentence_ids(text, licenses.recogniser()))
+
+
+@pytest.mark.parametrize("comment", ["", "# ", " * ", "// ", ";; ", "! ", "-- ", " | "])
+def test_every_licence_rule_fires_on_its_own_words(comment):
+    lines = lambda text: "".join(f"{comment}{x}\n" for x in text.split("\n"))
+    for name, text in WORDINGS.items():
+        assert licences_of(lines("Copyright 2020 A. Holder.\n" + text)) == [name]
+    for name, texts in NOTICES.items():
+        for text in texts:
+            assert licences_of(lines("A file.\n" + text.replace(" ", "\n", 1) + "\nMore.")) == [name]
+    assert {r[0] for r in licenses.RULES} == set(WORDINGS) | set(NOTICES)
+
+
+def test_no_known_sentence_is_lost_to_the_shortcut(spark, documents):
+    texts = ["THE SOFTWARE IS PROVIDED AS-IS, WITHOUT WARRANTY OF ANY KIND", "The software is provided as   is without warranty of any kind", "the software is provided as\n# is, without warranty of any kind."]
+    got = [r.sentence_ids for r in licenses.scan(documents(list(enumerate(texts)))).collect()]
+    assert got == [["mit-as-is"]] * 3
+    assert " " not in licenses.MARKS.pattern and all(licenses.MARKS.search(x) for x in licenses.SENTENCES.values())
+    assert licences_of("We gave them all. Rights reserved are others.") == []
+    assert licences_of("x" + "." * 200000 + "a" + ". " * 100000) == []
