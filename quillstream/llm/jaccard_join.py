@@ -224,23 +224,30 @@ def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def fragments(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(e, f, part): the part of each wanted set in each fragment of the order. wanted: (d, e)."""
+    """(e, f, part, many): the part of each wanted set in each fragment of the order, from every row of d. wanted: (d, e, many)."""
 
     def run(batches):
         for batch in batches:
             rows = batch.filter(batch.column("want").is_valid())
-            want = rows.column("want").to_pylist()
+            want, many = rows.column("want").to_pylist(), rows.column("many").to_pylist()
             out = []
             for k, e, found in _sets(rows, words):
                 if e in want[k]:
                     cut = np.searchsorted(found, [-(1 << 63) + ((1 << 64) // FRAGMENTS) * f for f in range(1, FRAGMENTS)])
-                    out += [(e, f, part) for f, part in enumerate(np.split(found, cut)) if len(part)]
+                    out += [(e, f, part, e in many[k]) for f, part in enumerate(np.split(found, cut)) if len(part)]
             for i in range(0, len(out), 8192):
-                e, f, part = zip(*out[i : i + 8192], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(e, pa.int64()), pa.array(f, pa.int32()), pa.array(part, pa.list_(pa.int64()))], names=["e", "f", "part"])
+                e, f, part, m = zip(*out[i : i + 8192], strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(e, pa.int64()), pa.array(f, pa.int32()), pa.array(part, pa.list_(pa.int64())), pa.array(m, pa.bool_())], names=["e", "f", "part", "many"])
 
-    by_doc = wanted.groupBy("d").agg(F.collect_set("e").alias("want"))
-    return texts.select("d", "t").join(by_doc, "d", "left").select("t", "want").mapInArrow(run, "e long, f int, part array<long>")
+    by_doc = wanted.groupBy("d").agg(F.collect_set("e").alias("want"), F.collect_set(F.when(F.col("many"), F.col("e"))).alias("many"))
+    return texts.select("d", "t").join(by_doc, "d", "left").select("t", "want", "many").mapInArrow(run, "e long, f int, part array<long>, many boolean")
+
+
+def distinct_parts(found: DataFrame) -> DataFrame:
+    """(e, f, part), one row for each e and f; only sets that may stand on several rows of their id are compared."""
+    several = found.where("many").select("e", "f", "part")
+    once = found.where("NOT many").select("e", "f", "part")
+    return once.unionByName(core.written(several.dropDuplicates(["e", "f"]))) if several.limit(1).count() else once
 
 
 def near_enough(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
@@ -276,7 +283,9 @@ def join_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
     frequent = shingles.where(F.col("n") >= least_count(shingles)).select("e", "n").toArrow()
     order = spark.sparkContext.broadcast(Order(frequent.column("e").to_numpy(), frequent.column("n").to_numpy()))
 
-    sets = core.written(documents.where("n > 0").groupBy("e").agg(F.min("d").alias("d"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salts")))
+    sets = core.written(documents.where("n > 0").groupBy("e").agg(F.min("d").alias("d"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salts"), F.count("*").alias("rows")))
+    # Rows of different salts have different ids; with fewer salts than rows an id may be repeated.
+    sets = sets.select("e", "d", "salts", (F.col("rows") > F.bit_count("salts")).alias("many"))
     members = core.written(bucket_members(prefixes(texts, order, words, percent)).withColumn("label", F.col("e")))
 
     shared = core.written(members.groupBy("e").agg(F.collect_list("tok").alias("toks")))
@@ -285,7 +294,7 @@ def join_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
         return pairs.select(F.col("x").alias("e")).union(pairs.select("y")).distinct()
 
     def wanted(found):
-        return core.written(fragments(texts, found.join(sets, "e").select("d", "e"), words))
+        return distinct_parts(core.written(fragments(texts, found.join(sets, "e").select("d", "e", "many"), words)))
 
     tried = parts = links = labels = None
     first = 0

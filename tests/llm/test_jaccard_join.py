@@ -89,3 +89,18 @@ def test_components_of_a_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "x long, y long")
     got = {r.v: r.label for r in components.components(links).collect()}
     assert got == {i: 0 for i in range(41)} | {100: 100, 101: 100}
+
+
+def test_repeated_rows_of_one_id_do_not_multiply_the_overlap(spark, documents):
+    """Rows of one id, or null ids, with one text stand next to a document of similarity 0.5 to 0.7."""
+    rows = []
+    for g in range(24):
+        w = [f"g{g}w{i}" for i in range(60)]
+        cut = (12, 14, 18)[g % 3]
+        other = [f"g{g}n{i}" for i in range(cut)]
+        rows += [(10 * g if g % 3 else None, " ".join(w))] * (2 + g % 2)
+        rows += [(10 * g + 1, " ".join(w[: 60 - cut] + other))] * (1 + g // 12)
+        # Documents that hold the tails make all shingles as frequent as the common ones, so the pair is a candidate.
+        rows += [(10 * g + 3 + k, " ".join(w[56 - cut : 60 - cut] + tail + [f"g{g}z{k}x{i}" for i in range(90)])) for k, tail in enumerate((w[60 - cut :], other))]
+    same(lambda r, parts: documents(r, 1), rows)
+    same(documents, rows)
