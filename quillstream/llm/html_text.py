@@ -9,7 +9,7 @@ side matter and reader comments inside it are left out.
 Text: character references decoded, white space inside a block made one space, blocks trimmed and joined by two \\n.
 
 Nulls: null or empty html gives an empty text; null or repeated page ids keep a row each. An unclosed tag ends with
-its page. Of regions with equal sums the first is taken. An empty table gives an empty result. Without labelled pages
+its page; an unclosed silent element other than script and style silences nothing. Of regions with equal sums the first is taken. An empty table gives an empty result. Without labelled pages
 the built-in weights hold. Other columns are ignored.
 """
 
@@ -26,7 +26,10 @@ from pyspark.sql import functions as F
 
 #: Names of HTML elements by their role.
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol option p pre section summary table tbody td tfoot th thead title tr ul".split())
-SILENT = frozenset("script style noscript template textarea select button svg math iframe object canvas audio video head title".split())
+SILENT = frozenset("script style noscript template textarea select button svg math iframe object canvas audio video title".split())
+#: Only these hold anything but markup, so without an end tag they reach to the page's end.
+RAW = frozenset("script style".split())
+FLAT = frozenset("button select".split())
 BOILERPLATE = frozenset("nav footer aside form menu dialog".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Words of class, id and role attributes that mark side matter.
@@ -60,12 +63,19 @@ def parse(page: str) -> list[tuple[str, str, str]]:
     out: list[tuple[str, str, str]] = []
     side: list[list] = []  # [element, depth] of the open containers
     silent, link, labelled, i, n = "", 0, 0, 0, len(page)
-    article = 0
+    article, unclosed = 0, set()
     while i < n:
         if silent:
-            m = re.compile(rf"</{silent}\s*>", re.I).search(page, i)
-            body, i = (page[i : m.start()], m.end()) if m else (page[i:], n)
-            out.append(("text", "silent", body))
+            stop = rf"|<{silent}\b" if silent in FLAT else ""
+            stop = "" if silent in RAW else rf"|</(?:article|main|body)\b{stop}"
+            m = None if silent in unclosed else re.compile(rf"(</{silent}\s*>){stop}", re.I).search(page, i)
+            if m and m[1] is None:
+                pass  # left open where its article ends or the next of its kind begins: it silences nothing
+            elif m or silent in RAW:
+                body, i = (page[i : m.start()], m.end()) if m else (page[i:], n)
+                out.append(("text", "silent", body))
+            else:
+                unclosed.add(silent)  # without an end tag it silences nothing
             silent = ""
             continue
         m = TOKEN.match(page, i) or LOOSE.match(page, i)

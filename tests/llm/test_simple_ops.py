@@ -177,3 +177,16 @@ def test_no_known_sentence_is_lost_to_the_shortcut(spark, documents):
     assert " " not in licenses.MARKS.pattern and all(licenses.MARKS.search(x) for x in licenses.SENTENCES.values())
     assert licences_of("We gave them all. Rights reserved are others.") == []
     assert licences_of("x" + "." * 200000 + "a" + ". " * 100000) == []
+
+
+@pytest.mark.parametrize("element", ["button", "svg", "select", "object", "iframe", "canvas", "video", "noscript", "textarea"])
+def test_html_without_end_tags_keeps_the_rest(element):
+    first, second = "First words of the article stand here.", "Second paragraph has some more words as well."
+    for head in ("<head><title>A title</title>", "<head><title>A title</title><meta charset=utf-8>", "<head><title>A title</title></head>", "<title>A title</title>"):
+        page = f"<html>{head}<body><article><p>{first}</p><{element} class=x><p>{second}</p></article></body></html>"
+        assert html_text.main_text(page, html_text.DEFAULT) == f"{first}\n\n{second}"
+        closed = page.replace(f"<{element} class=x>", f"<{element} class=x>silent</{element}>")
+        assert html_text.main_text(closed, html_text.DEFAULT) == f"{first}\n\n{second}"
+    assert html_text.main_text(f"<p>{first}</p><script>var a = 1;", html_text.DEFAULT) == first
+    later = f"<article><p>{first}</p><{element} class=x><p>{second}</p></article><p>More words follow here.</p><{element}>silent</{element}>"
+    assert html_text.main_text(later, html_text.DEFAULT) == f"{first}\n\n{second}\n\nMore words follow here."
