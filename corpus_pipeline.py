@@ -12,7 +12,7 @@ ORACLE_SQL = None
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a recognisable language go."""
+    """Documents without letters go. Every other one gets some language, so the classifier decides nothing about what stays."""
     model = language_id.fit_on(docs.where(~language_id.held_out()).select(F.col("doc_id").alias("id"), "text", "lang"))
     return language_id.keep_identified(docs, model)
 
