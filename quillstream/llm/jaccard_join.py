@@ -8,7 +8,7 @@ their sets' Jaccard similarity is at least `percent` / 100. Equal sets are one c
 2. Candidates: the first n - ceil(0.8 n) + 1 shingles of a set in that order (two linked sets share one of them), dealt out by
    shingle. Where many sets meet, only pairs with a few centres are tried first.
    Pairs whose prefixes share too few shingles to link are left out.
-3. Verification: the order is cut into `FRAGMENTS` fragments; a set's part in each is a row of its own; the overlap of a pair is
+3. Verification: the shingle hashes are cut into `FRAGMENTS` equal ranges, not along the order of step 1; a set's part in each is a row of its own; the overlap of a pair is
    counted in each fragment separately and summed per pair.
 4. The links' components become labels. Further rounds try other centres, only across labels. Then every remaining candidate
    pair with different labels is verified, so no link between different components is lost, while pairs within a component
@@ -224,7 +224,7 @@ def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def fragments(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(e, f, part, many): the part of each wanted set in each fragment of the order, from every row of d. wanted: (d, e, many)."""
+    """(e, f, part, many): the part of each wanted set in each range of hashes, from every row of d. wanted: (d, e, many)."""
 
     def run(batches):
         for batch in batches:
