@@ -15,18 +15,19 @@ def expand(entries: DataFrame) -> DataFrame:
     return own.unionByName(extra).groupBy("word").agg(F.min_by(F.struct("freq", "shortcuts"), "at").alias("e")).select("word", "e.freq", "e.shortcuts")
 
 
-def resolve(vocabulary: DataFrame, most_hops: int = 32) -> DataFrame:
+def resolve(vocabulary: DataFrame) -> DataFrame:
     """(key_idx, target_idx) of (word, idx, shortcuts): each word's first shortcut, followed while it has one itself.
 
-    Chains are followed by a recursive query; the depth cap ends a cycle, whose words are left out.
+    Each round doubles the hops, so chains of any length end; what is still open after as many hops as there are words runs
+    into a cycle and is left out.
     """
-    first = vocabulary.where(F.size("shortcuts") > 0).select("word", F.col("shortcuts")[0].alias("target"))
-    chain = """
-        WITH RECURSIVE hop(word, target, k) AS (
-          SELECT word, target, 1 FROM {first}
-          UNION ALL SELECT hop.word, f.target, k + 1 FROM hop JOIN {first} f ON f.word = hop.target WHERE k < {most_hops})
-        SELECT word, target FROM hop"""
-    hops = first.sparkSession.sql(chain, first=first, most_hops=most_hops)
+    first = staging.staged(vocabulary.where(F.size("shortcuts") > 0).select("word", F.col("shortcuts")[0].alias("target")))
+    hops = first
+    for _ in range(first.count().bit_length()):
+        if not hops.join(first.select(F.col("word").alias("target")), "target", "left_semi").limit(1).count():
+            break
+        on = hops.select(F.col("word").alias("_w"), F.col("target").alias("_t"))
+        hops = staging.staged(hops.join(on, F.col("target") == F.col("_w"), "left").select("word", F.coalesce("_t", "target").alias("target")))
     ended = hops.join(first.select(F.col("word").alias("target")), "target", "left_anti")
     key = vocabulary.select("word", F.col("idx").alias("key_idx"))
     goal = vocabulary.select(F.col("word").alias("target"), F.col("idx").alias("target_idx"))

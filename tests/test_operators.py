@@ -239,3 +239,10 @@ def test_streaming_counts(spark, tmp_path):
     q.processAllAvailable()
     q.stop()
     assert sorted((r.w1, r.w2, r.cnt) for r in spark.table("pc").collect()) == [("one", "two", 2), ("two", "three", 1)]
+
+
+def test_alias_chains_of_any_length_end_and_cycles_do_not(spark):
+    chain = [(f"w{i:02}", i, [f"w{i + 1:02}"] if i < 70 else []) for i in range(71)]
+    cycle = [("a", 100, ["b"]), ("b", 101, ["c"]), ("c", 102, ["a"]), ("in", 103, ["a"]), ("self", 104, ["self"]), ("lost", 105, ["nowhere"])]
+    vocabulary = spark.createDataFrame(chain + cycle, "word string, idx long, shortcuts array<string>")
+    assert sorted(tuple(r) for r in aliases.resolve(vocabulary).collect()) == [(i, 70) for i in range(70)]
