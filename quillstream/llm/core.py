@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-import time
 import uuid
 
 import numpy as np
@@ -106,26 +104,38 @@ def spans_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, else one below the warehouse."""
+    """The folder that all executors share: spark.checkpoint.dir. Only a local session may do without; it gets one below the warehouse."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return found or spark.conf.get("spark.sql.warehouse.dir") + "/checkpoints"
 
 
-def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
-    """The rows as a table in the shared folder, which outlives executors and cuts the lineage.
+#: Has Spark remove the shuffle files of a finished query, so that finished phases do not fill the disks.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
-    The shuffle files behind the rows are of no more use; Spark's cleaner removes them once their plan is collected as
-    garbage, so collection is asked for here instead of letting finished phases fill the disks.
-    """
+def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
+    """The rows as a table in the shared folder, which outlives executors and cuts the lineage."""
     spark, schema = df.sparkSession, df.schema
     path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.option("compression", codec).parquet(path)
-    del df
-    for wait in (0.2, 0):  # the scheduler lets go of a finished job a moment after its end
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(wait)
-    return spark.read.schema(schema).parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    out = spark.read.schema(schema).parquet(path)
+    out._written = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Removes written tables that nothing reads any more."""
+    for df in tables:
+        if path := getattr(df, "_written", None):
+            there = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            there.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(there, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -1,22 +1,27 @@
 """Operator 7: n-gram Jaccard join by vertical partitioning.
 
 A document's set holds the distinct shingles of `words` words (the whole sequence if it has fewer). Two documents link when
-their sets' Jaccard similarity is at least `percent` / 100. Equal sets are one class from the start, known by a hash of the set.
-
-1. The global order of shingles puts the frequent ones last: frequencies come from all documents, each task reporting those
-   that it meets `REPORT` times, and the `FREQUENT` most frequent are ranked. The order only saves work; any order is exact.
-2. Candidates: the first n - ceil(0.8 n) + 1 shingles of a set in that order (two linked sets share one of them), dealt out by
-   shingle. Where many sets meet, only pairs with a few centres are tried first.
-   Pairs whose prefixes share too few shingles to link are left out.
-3. Verification: the shingle hashes are cut into `FRAGMENTS` equal ranges, not along the order of step 1; a set's part in each is a row of its own; the overlap of a pair is
-   counted in each fragment separately and summed per pair.
-4. The links' components become labels. Further rounds try other centres, only across labels. Then every remaining candidate
-   pair with different labels is verified, so no link between different components is lost, while pairs within a component
-   need not be tried.
-
-Sets are compared by 64-bit hashes of their shingles. Nulls: a null or empty text has an empty set, linked with nothing; a null id
-counts as the largest and is returned as null. Rows of one id are linked by their sets like others. An empty table gives
-an empty result. Other columns are ignored.
+their sets' Jaccard similarity is at least `percent` / 100. Equal sets are one class from the start, known by a hash of
+128 bits.
+
+1. The global order of shingles puts the frequent ones last. A task reports every shingle that it meets again, so one that is
+   reported nowhere occurs in at most as many sets as there are tasks; the `FREQUENT` most frequent are ranked. The order only
+   saves work; any order is exact.
+2. The order is cut into `FRAGMENTS` pieces: the unranked shingles in equal ranges, and the ranked ones. Every set has, for each
+   fragment, the size of its part and a bitmap of parities, which bound the overlap of two parts from above:
+   at most (nx + ny - differing bits) / 2 of each fragment, summed over the fragments.
+3. Candidates: the first n - ceil(0.8 n) + 1 shingles of a set in that order (two linked sets share one of them), dealt out by
+   shingle; a frequent shingle's sets are split into blocks, compared pair of blocks by pair of blocks. A pair leaves its bucket only if
+   its sizes, the places of the shared shingle and the summed bounds of the fragments allow a link.
+4. Verification: the overlap of a pair is counted in each fragment separately and summed per pair.
+5. The links' components become labels, in three rounds: each bucket's sets against a few centres; of each two labels that
+   still meet in a bucket the nearest pair; then every remaining candidate pair with different labels. So no link between
+   different components is lost, while pairs within a component need not be tried.
+
+Shingles are compared by 64-bit hashes. Nulls: a null or empty text has an empty set, linked with nothing; a null id
+counts as the largest and is returned as null. Rows of one id are linked by their sets like others. Very long texts are
+handled one at a time, whole. Ties do not arise: a component has one smallest id. An empty table gives an empty result. Other
+columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,9 +34,15 @@ from pyspark.sql import functions as F
 from . import components, core
 from .repeats import whole_groups
 
-REPORT, FREQUENT, FRAGMENTS, SALTS = 2, 1 << 20, 4, 32
-#: How many centres a bucket has in each round of star-shaped trials; what is left is tried pair by pair.
-ROUNDS = (2, 4, 8)
+FREQUENT, FRAGMENTS, SALTS = 1 << 20, 4, 32
+#: Centres of a bucket in the first round.
+CENTRES = 2
+#: Sets of one shingle that are compared in one task; those of a more frequent one are split into blocks of about this size.
+BLOCK = 1 << 13
+#: 64-bit words of parities in each fragment's bitmap.
+PARITY = 2
+#: Slots in which a task remembers the shingles that it has met, and the reports that it holds before it sends them on.
+MET, HELD = 1 << 25, 1 << 20
 NO_ID = (1 << 63) - 1
 
 
@@ -50,57 +61,109 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, words: int) -> list[np.n
     return out
 
 
-def set_id(found: np.ndarray) -> int:
-    """A hash of the set: the wrapped sum of scrambled members and its size."""
-    return int(core.mix(np.array([core.mix(found.view(np.uint64)).sum() + np.uint64(len(found))], np.uint64)).view(np.int64)[0])
+def set_id(found: np.ndarray, renamed: frozenset = frozenset()) -> tuple[int, int]:
+    """Two independent hashes of the set. The first is its id, unless that is `renamed`; then the second is."""
+    x = found.view(np.uint64)
+    sums = np.array([core.mix(x).sum(), core.mix(x ^ np.uint64(0x5851F42D4C957F2D)).sum()], np.uint64) + np.uint64(len(found))
+    e, e2 = core.mix(sums).view(np.int64).tolist()
+    return (e2 if e in renamed else e), e2
 
 
-def _sets(batch: pa.RecordBatch, words: int):
-    """(row, set id, set) of each row of a batch with the column t."""
+def _sets(batch: pa.RecordBatch, words: int, renamed: frozenset = frozenset()):
+    """(row, set id, second hash, set) of each row of a batch with the column t."""
     data, offsets = core.text_buffers(batch.column("t"))
     for i, j in core.slices(offsets):
         for k, found in enumerate(shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], words)):
-            yield i + k, set_id(found) if len(found) else 0, found
+            yield i + k, *(set_id(found, renamed) if len(found) else (0, 0)), found
+
+
+def counted(x: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values and the sums of their counts (1 each if none are given)."""
+    order = np.argsort(x, kind="stable")
+    x = x[order]
+    head = np.flatnonzero(np.append(True, x[1:] != x[:-1])) if len(x) else np.zeros(0, np.int64)
+    return x[head], np.diff(np.append(head, len(x))) if n is None else np.add.reduceat(n[order], head) if len(x) else n
 
 
 def census(texts: DataFrame, words: int) -> DataFrame:
-    """Rows of two kinds: (d, e, n) for each document, and (e = shingle, n = how often) for a task's frequent shingles."""
+    """Rows of two kinds: (id, e, e2, n) for each document, and (e = shingle, n = how often) for those that a task meets again."""
+
+    def reports(held):
+        x, n = counted(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        void = pa.nulls(len(x), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(np.zeros(len(x), bool)), void, pa.array(x), void, pa.array(n.astype(np.int64))], names=["doc", "id", "e", "e2", "n"])
 
     def run(batches):
+        met, held, size = np.zeros(MET, bool), [], 0
         for batch in batches:
             ids, sizes, seen, kept = [], [], set(), []
-            for _, e, found in _sets(batch, words):
-                ids.append(e)
+            for _, e, e2, found in _sets(batch, words):
+                ids.append((e, e2))
                 sizes.append(len(found))
                 if len(found) and e not in seen:
                     seen.add(e)
                     kept.append(found)
-            n = len(ids)
-            flat = np.sort(np.concatenate(kept)) if kept else np.zeros(0, np.int64)
-            head = np.flatnonzero(np.append(True, flat[1:] != flat[:-1])) if len(flat) else np.zeros(0, np.int64)
-            count = np.diff(np.append(head, len(flat)))
-            often = count >= REPORT
-            yield pa.RecordBatch.from_arrays([pa.array([True] * n, pa.bool_()), batch.column("id"), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64())], names=["doc", "id", "e", "n"])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.zeros(often.sum(), bool)), pa.nulls(int(often.sum()), pa.int64()), pa.array(flat[head[often]]), pa.array(count[often].astype(np.int64))], names=["doc", "id", "e", "n"]
-            )
-
-    return texts.select("id", "t").mapInArrow(run, "doc boolean, id long, e long, n long")
+            e, e2 = np.array(ids, np.int64).reshape(-1, 2).T
+            yield pa.RecordBatch.from_arrays([pa.array([True] * len(ids), pa.bool_()), batch.column("id"), pa.array(e), pa.array(e2), pa.array(sizes, pa.int64())], names=["doc", "id", "e", "e2", "n"])
+            if kept:
+                x, n = counted(np.concatenate(kept))
+                slot = (x.view(np.uint64) >> np.uint64(39)).astype(np.int64) % MET
+                again = met[slot] | (n > 1)
+                met[slot] = True
+                held.append((x[again], n[again]))
+                size += int(again.sum())
+                if size >= HELD:
+                    yield reports(held)
+                    held, size = [], 0
+        if held:
+            yield reports(held)
+
+    return texts.select("id", "t").mapInArrow(run, "doc boolean, id long, e long, e2 long, n long")
 
 
 class Order:
-    """The global order of shingles: rare ones by value, then the frequent ones by frequency."""
+    """The global order of shingles: rare ones by value, then the frequent ones by frequency; and its fragments."""
 
-    def __init__(self, shingles: np.ndarray, counts: np.ndarray):
+    def __init__(self, shingles: np.ndarray, counts: np.ndarray, block: int = BLOCK):
         at = np.argsort(shingles)
-        self.shingles, self.tier = shingles[at], np.log2(np.maximum(counts[at], 1)).astype(np.int64) + 1
+        self.shingles, self.counts, self.block = shingles[at], counts[at], block
+        self.tiers = np.log2(np.maximum(self.counts, 1)).astype(np.int64) + 1
 
-    def sort(self, found: np.ndarray) -> np.ndarray:
+    def place(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the place in the table of the frequent ones, whether a shingle is there)."""
         if not len(self.shingles):
-            return found
+            return np.zeros(len(found), np.int64), np.zeros(len(found), bool)
         at = np.minimum(np.searchsorted(self.shingles, found), len(self.shingles) - 1)
-        tier = np.where(self.shingles[at] == found, self.tier[at], 0)
-        return found[np.lexsort((found, tier))]
+        return at, self.shingles[at] == found
+
+    def sort(self, found: np.ndarray) -> np.ndarray:
+        at, known = self.place(found)
+        return found[np.lexsort((found, np.where(known, self.tiers[at], 0)))] if known.any() else found
+
+    def blocks(self, found: np.ndarray) -> np.ndarray:
+        """Into how many blocks the sets of each shingle are split."""
+        at, known = self.place(found)
+        return np.where(known, -(-self.counts[at] // self.block), 1) if known.any() else np.ones(len(found), np.int64)
+
+    def fragments(self, found: np.ndarray) -> np.ndarray:
+        """The piece of the order in which each shingle lies."""
+        rare = ((found.view(np.uint64) ^ np.uint64(1 << 63)) >> np.uint64(32)) * np.uint64(FRAGMENTS - 1) >> np.uint64(32)
+        return np.where(self.place(found)[1], FRAGMENTS - 1, rare.astype(np.int64))
+
+
+def sketch(found: np.ndarray, fragment: np.ndarray) -> np.ndarray:
+    """Of each fragment the parities of the set's part, then of each its size."""
+    bit = (core.mix(found.view(np.uint64)) % np.uint64(64 * PARITY)).astype(np.int64) + 64 * PARITY * fragment
+    parity = np.bincount(bit, minlength=64 * PARITY * FRAGMENTS) & 1
+    size = np.bincount(fragment, minlength=FRAGMENTS).astype(np.int64)
+    return np.concatenate([np.packbits(parity.astype(np.uint8), bitorder="little").view(np.int64), size])
+
+
+def may_overlap(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The bound of the overlaps of two lists of sketches, summed over the fragments."""
+    bits = PARITY * FRAGMENTS
+    differ = np.bitwise_count((x[:, :bits] ^ y[:, :bits]).view(np.uint64)).reshape(len(x), FRAGMENTS, PARITY).sum(2).astype(np.int64)
+    return np.minimum((x[:, bits:] + y[:, bits:] - differ) // 2, np.minimum(x[:, bits:], y[:, bits:])).sum(1)
 
 
 def required(n: np.ndarray | int, percent: int):
@@ -108,33 +171,40 @@ def required(n: np.ndarray | int, percent: int):
     return -(-percent * n // 100)
 
 
-def prefixes(texts: DataFrame, order, words: int, percent: int) -> DataFrame:
-    """(tok, e, n, pos): the prefix of every distinct set of a task."""
+BUCKET = "tok long, e long, n int, pos int, part int, blocks int, sketch binary"
+
+
+def prefixes(texts: DataFrame, order, words: int, percent: int, renamed: frozenset) -> DataFrame:
+    """The prefix of every distinct set of a task, a row for each shingle, and its sketch, a row with tok = e and pos = -1."""
 
     def run(batches):
         for batch in batches:
             seen, out, held = set(), [], 0
-            for _, e, found in _sets(batch, words):
+            for _, e, _, found in _sets(batch, words, renamed):
                 n = len(found)
                 if n and e not in seen:
                     seen.add(e)
                     k = n - int(required(n, percent)) + 1
-                    out.append((order.value.sort(found)[:k], e, n))
+                    out.append((order.value.sort(found)[:k], e, n, sketch(found, order.value.fragments(found))))
                     held += k
                 if held >= 1 << 16:
-                    yield rows(out)
+                    yield from rows(out)
                     out, held = [], 0
             if out:
-                yield rows(out)
+                yield from rows(out)
 
     def rows(out):
-        size = [len(x) for x, _, _ in out]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate([x for x, _, _ in out])), pa.array(np.repeat([e for _, e, _ in out], size)), pa.array(np.repeat([n for *_, n in out], size).astype(np.int32)), pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in size]))],
-            names=["tok", "e", "n", "pos"],
-        )
+        size = [len(x) for x, *_ in out]
+        tok, ids, n = np.concatenate([x for x, *_ in out]), np.array([e for _, e, *_ in out], np.int64), np.array([x[2] for x in out], np.int32)
+        e, blocks = np.repeat(ids, size), order.value.blocks(tok).astype(np.int32)
+        pos = np.concatenate([np.arange(k, dtype=np.int32) for k in size])
+        own = (e.view(np.uint64) % blocks.astype(np.uint64)).astype(np.int32)
+        names = ["tok", "e", "n", "pos", "part", "blocks", "sketch"]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, (tok, e, np.repeat(n, size), pos, own, blocks)), pa.nulls(len(tok), pa.binary())], names=names)
+        one = np.ones(len(ids), np.int32)
+        yield pa.RecordBatch.from_arrays([*map(pa.array, (ids, ids, n, -one, 0 * one, one)), pa.array([x[3].tobytes() for x in out], pa.binary())], names=names)
 
-    return texts.select("t").mapInArrow(run, "tok long, e long, n int, pos int")
+    return texts.select("t").mapInArrow(run, BUCKET)
 
 
 def may_link(n1, p1, n2, p2, percent: int):
@@ -143,64 +213,96 @@ def may_link(n1, p1, n2, p2, percent: int):
     return 1 + np.minimum(n1 - p1 - 1, n2 - p2 - 1) >= need
 
 
-def centres_of(e: np.ndarray, first: int, count: int) -> list[int]:
-    """Places of a bucket's centres: the least of a few scrambled orders of its sets, alike in every bucket with these sets."""
-    return sorted({int(np.argmin(core.mix(e.view(np.uint64) + np.uint64(977 * (k + 1))))) for k in range(first, first + count)})
-
-
 def bucket_members(rows: DataFrame) -> DataFrame:
-    """The distinct rows of buckets with several sets."""
+    """The distinct rows of buckets with several sets, those of split buckets, and the distinct sketches."""
 
     def run(batches):
         for table in whole_groups(batches, "tok", 1 << 17):
-            tok, e, n, pos = (table.column(x).to_numpy() for x in ("tok", "e", "n", "pos"))
-            order = np.lexsort((e, tok))
-            tok, e, n, pos = tok[order], e[order], n[order], pos[order]
-            new = np.append(True, (tok[1:] != tok[:-1]) | (e[1:] != e[:-1]))
-            tok, e, n, pos = tok[new], e[new], n[new], pos[new]
-            head = np.append(True, tok[1:] != tok[:-1])
-            size = np.diff(np.append(np.flatnonzero(head), len(tok)))[np.cumsum(head) - 1]
-            keep = size > 1
-            yield pa.RecordBatch.from_arrays([pa.array(x[keep]) for x in (tok, e, n, pos)], names=["tok", "e", "n", "pos"])
+            tok, e, pos, part, blocks = (table.column(x).to_numpy() for x in ("tok", "e", "pos", "part", "blocks"))
+            order = np.lexsort((e, pos < 0, part, tok))
+            tok, e, pos, part, blocks = (x[order] for x in (tok, e, pos, part, blocks))
+            head = np.append(True, (tok[1:] != tok[:-1]) | (part[1:] != part[:-1]) | ((pos[1:] < 0) != (pos[:-1] < 0)))
+            new = head | np.append(True, e[1:] != e[:-1])
+            size = np.bincount(np.cumsum(head) - 1, new)[np.cumsum(head) - 1]
+            yield from table.take(pa.array(order[new & ((size > 1) | (blocks > 1) | (pos < 0))])).combine_chunks().to_batches()
+
+    return rows.repartition("tok", "part").sortWithinPartitions("tok").mapInArrow(run, BUCKET)
+
+
+def expanded(row: np.ndarray, low: np.ndarray, high: np.ndarray, most: int = 1 << 18):
+    """Chunks (i, j) of the pairs of each row with all of [low, high), cut between rows."""
+    many = high - low
+    ends, a = np.cumsum(many), 0
+    while a < len(row):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + most, "right")))
+        k = many[a:b]
+        if k.sum():
+            yield np.repeat(row[a:b], k), np.repeat(low[a:b] - np.cumsum(k) + k, k) + np.arange(k.sum())
+        a = b
+
 
-    return rows.repartition("tok").sortWithinPartitions("tok").mapInArrow(run, "tok long, e long, n int, pos int")
+def distinct_pairs(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Places of the first of each equal pair."""
+    order = np.lexsort((y, x))
+    return order[np.append(True, (np.diff(x[order]) != 0) | (np.diff(y[order]) != 0))] if len(x) else order
 
 
-def candidates(members: DataFrame, percent: int, first: int = 0, centres: int = 0) -> DataFrame:
-    """Pairs (x, y, nx, ny), x < y, with different labels: those with each bucket's centres, or all if `centres` is 0."""
+def candidates(members: DataFrame, percent: int, mode: str) -> DataFrame:
+    """Distinct pairs (x, y, nx, ny), x < y, of sets with different labels that share a bucket and whose bounds allow a link.
+
+    mode `centres`: those with a bucket's centres, which are the least of a few scrambled orders, alike in every bucket of these
+    sets. `nearest`: of each two labels in a bucket the pair with the largest bound. `all`: all of them.
+    """
 
     def run(batches):
         for table in whole_groups(batches, "tok", 1 << 17):
-            tok, e, n, pos, label = (table.column(x).to_numpy() for x in ("tok", "e", "n", "pos", "label"))
-            order = np.lexsort((e, tok))
-            tok, e, n, pos, label = tok[order], e[order], n[order].astype(np.int64), pos[order].astype(np.int64), label[order]
-            bound = np.append(np.flatnonzero(np.append(True, tok[1:] != tok[:-1])), len(tok)).tolist()
+            tok, e, n, pos, part, blocks, label = (table.column(x).to_numpy().astype(np.int64) for x in ("tok", "e", "n", "pos", "part", "blocks", "label"))
+            sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.int64).reshape(len(tok), -1)
+            order = np.lexsort((e, label, part, tok))
+            tok, e, n, pos, part, blocks, label, sketches = (x[order] for x in (tok, e, n, pos, part, blocks, label, sketches))
+            new = np.append(True, (tok[1:] != tok[:-1]) | (part[1:] != part[:-1]))
+            group, head = np.cumsum(new) - 1, np.flatnonzero(new)
+            end = np.append(head[1:], len(tok))
+            row = np.arange(len(tok))
+            if mode == "centres":
+                least = [np.lexsort((core.mix(e.view(np.uint64) + np.uint64(977 * (k + 1))), group))[head] for k in range(CENTRES)]
+                row = np.unique(np.concatenate(least))
+                low = head[group[row]]
+            else:
+                run_ends = np.flatnonzero(np.append(new[1:] | (label[1:] != label[:-1]), True)) + 1
+                low = run_ends[np.searchsorted(run_ends, row, "right")]  # behind the sets of its own label
+            own = (e.view(np.uint64) % blocks.astype(np.uint64)).astype(np.int64)
+            within = part // blocks == part % blocks
             held: list[np.ndarray] = []
-            size = 0
-            for i, j in zip(bound[:-1], bound[1:], strict=True):
-                if j - i < 2 or (label[i:j] == label[i]).all():
-                    continue
-                for c in centres_of(e[i:j], first, centres) if centres and j - i > centres else range(j - i - 1):
-                    k, low = i + c, i if centres and j - i > centres else i + c + 1
-                    at = low + np.flatnonzero(may_link(n[low:j], pos[low:j], n[k], pos[k], percent) & (label[low:j] != label[k]))
-                    if len(at):
-                        held.append(np.stack([np.full(len(at), k), at], 1))
-                        size += len(at)
-                if size >= 1 << 18:
-                    held, size = [distinct(np.concatenate(held), e)], 0
+            for i, j in expanded(row, low, end[group[row]]):
+                ok = (label[i] != label[j]) & may_link(n[i], pos[i], n[j], pos[j], percent)
+                if mode != "centres":
+                    ok &= within[i] | (own[i] != own[j])
+                i, j = i[ok], j[ok]
+                bound = may_overlap(sketches[i], sketches[j])
+                ok = 100 * bound >= percent * (n[i] + n[j] - bound)
+                i, j, bound = i[ok], j[ok], bound[ok]
+                if mode == "nearest" and len(i):
+                    a, b = np.minimum(label[i], label[j]), np.maximum(label[i], label[j])
+                    order = np.lexsort((-bound / (n[i] + n[j]), b, a, group[i]))
+                    a, b, g = a[order], b[order], group[i][order]
+                    first = order[np.append(True, (np.diff(a) != 0) | (np.diff(b) != 0) | (np.diff(g) != 0))]
+                    i, j = i[first], j[first]
+                swap = e[i] > e[j]
+                i, j = np.where(swap, j, i), np.where(swap, i, j)
+                keep = distinct_pairs(e[i], e[j])
+                held.append(np.stack([i[keep], j[keep]]))
             if held:
-                p = distinct(np.concatenate(held), e)
-                for i in range(0, len(p), 1 << 16):
-                    q = p[i : i + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays([pa.array(e[q[:, 0]]), pa.array(e[q[:, 1]]), pa.array(n[q[:, 0]]), pa.array(n[q[:, 1]])], names=["x", "y", "nx", "ny"])
-
-    def distinct(p, e):
-        p = np.where((e[p[:, 0]] < e[p[:, 1]])[:, None], p, p[:, ::-1])
-        x, y = e[p[:, 0]], e[p[:, 1]]
-        o = np.lexsort((y, x))
-        return p[o[np.append(True, (np.diff(x[o]) != 0) | (np.diff(y[o]) != 0))]]
-
-    found = members.repartition("tok").sortWithinPartitions("tok").mapInArrow(run, "x long, y long, nx long, ny long")
+                i, j = np.concatenate(held, 1)
+                keep = distinct_pairs(e[i], e[j])
+                for k in range(0, len(keep), 1 << 16):
+                    x, y = i[keep[k : k + (1 << 16)]], j[keep[k : k + (1 << 16)]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in (e[x], e[y], n[x], n[y])], names=["x", "y", "nx", "ny"])
+
+    if mode != "centres":  # every block of a split bucket meets every other one
+        met = F.expr("transform(sequence(0, blocks - 1), o -> least(o, part) * blocks + greatest(o, part))")
+        members = members.withColumn("part", F.explode(F.when(F.col("blocks") > 1, met).otherwise(F.array(F.lit(0)))))
+    found = members.repartition("tok", "part").sortWithinPartitions("tok").mapInArrow(run, "x long, y long, nx long, ny long")
     return found.groupBy("x", "y").agg(F.first("nx").alias("nx"), F.first("ny").alias("ny"))
 
 
@@ -218,23 +320,23 @@ def least_count(shingles: DataFrame) -> int:
 
 def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of the buckets that still hold several labels, with their labels."""
-    labelled = members.select("tok", "e", "n", "pos").join(labels.withColumnRenamed("v", "e"), "e", "left").withColumn("label", F.coalesce("label", "e"))
+    labelled = members.drop("label").join(labels.withColumnRenamed("v", "e"), "e", "left").withColumn("label", F.coalesce("label", "e"))
     several = labelled.groupBy("tok").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b").select("tok")
     return labelled.join(several, "tok", "left_semi")
 
 
-def fragments(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(e, f, part, many): the part of each wanted set in each range of hashes, from every row of d. wanted: (d, e, many)."""
+def fragments(texts: DataFrame, wanted: DataFrame, order, words: int, renamed: frozenset) -> DataFrame:
+    """(e, f, part, many): the part of each wanted set in each fragment, from every row of d. wanted: (d, e, many)."""
 
     def run(batches):
         for batch in batches:
             rows = batch.filter(batch.column("want").is_valid())
             want, many = rows.column("want").to_pylist(), rows.column("many").to_pylist()
             out = []
-            for k, e, found in _sets(rows, words):
+            for k, e, _, found in _sets(rows, words, renamed):
                 if e in want[k]:
-                    cut = np.searchsorted(found, [-(1 << 63) + ((1 << 64) // FRAGMENTS) * f for f in range(1, FRAGMENTS)])
-                    out += [(e, f, part, e in many[k]) for f, part in enumerate(np.split(found, cut)) if len(part)]
+                    of = order.value.fragments(found)
+                    out += [(e, f, found[of == f], e in many[k]) for f in np.unique(of).tolist()]
             for i in range(0, len(out), 8192):
                 e, f, part, m = zip(*out[i : i + 8192], strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(e, pa.int64()), pa.array(f, pa.int32()), pa.array(part, pa.list_(pa.int64())), pa.array(m, pa.bool_())], names=["e", "f", "part", "many"])
@@ -243,23 +345,9 @@ def fragments(texts: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     return texts.select("d", "t").join(by_doc, "d", "left").select("t", "want", "many").mapInArrow(run, "e long, f int, part array<long>, many boolean")
 
 
-def distinct_parts(found: DataFrame) -> DataFrame:
-    """(e, f, part), one row for each e and f; only sets that may stand on several rows of their id are compared."""
-    several = found.where("many").select("e", "f", "part")
-    once = found.where("NOT many").select("e", "f", "part")
-    return once.unionByName(core.written(several.dropDuplicates(["e", "f"]))) if several.limit(1).count() else once
-
-
-def near_enough(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
-    """The pairs whose prefixes (e, toks) share enough shingles to link.
-
-    Of two linked sets' common shingles, those up to the end of the prefix that ends first are in both prefixes, and at most
-    ceil(percent n / 100) - 1 lie behind it.
-    """
-    left = pairs.join(shared.select(F.col("e").alias("x"), F.col("toks").alias("_tx")), "x")
-    both = left.join(shared.select(F.col("e").alias("y"), F.col("toks").alias("_ty")), "y")
-    need = F.expr(f"({percent} * (nx + ny) + {99 + percent}) div {100 + percent} - ({percent} * greatest(nx, ny) + 99) div 100 + 1")
-    return both.where(F.size(F.array_intersect("_tx", "_ty")) >= need).select("x", "y", "nx", "ny")
+def distinct_parts(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The parts, and one row for each e and f of the sets that may stand on several rows of their id; only these are compared."""
+    return found, core.written(found.where("many").select("e", "f", "part").dropDuplicates(["e", "f"]))
 
 
 def verified(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
@@ -271,49 +359,60 @@ def verified(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     return shared.where(F.lit(100) * F.col("k") >= F.lit(percent) * (F.col("nx") + F.col("ny") - F.col("k"))).select("x", "y")
 
 
-def join_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def join_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """(id, n_shingles, component_id) of every document."""
     spark = docs.sparkSession
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col), F.lit(NO_ID)).cast("long").alias("d"), text.alias("t"))
 
-    counted = core.written(census(texts, words))
-    documents = counted.where("doc").select("id", F.coalesce("id", F.lit(NO_ID)).alias("d"), "e", "n").withColumn("salt", F.pmod(F.hash("d"), F.lit(SALTS)))
-    shingles = core.written(counted.where("NOT doc").groupBy("e").agg(F.sum("n").alias("n")))
+    met = core.written(census(texts, words))
+    # Different sets with one hash: of n sets, n * n / 2^65 are expected, so this list is short at any size.
+    renamed = frozenset(r["e"] for r in met.where("doc AND n > 0").groupBy("e").agg(F.min("e2").alias("a"), F.max("e2").alias("b")).where("a <> b").select("e").collect())
+    own = F.when(F.col("e").isin(list(renamed)), F.col("e2")).otherwise(F.col("e")) if renamed else F.col("e")
+    documents = met.where("doc").select("id", F.coalesce("id", F.lit(NO_ID)).alias("d"), own.alias("e"), "n").withColumn("salt", F.pmod(F.hash("d"), F.lit(SALTS)))
+    shingles = core.written(met.where("NOT doc").groupBy("e").agg(F.sum("n").alias("n")).where("n > 1"))
     frequent = shingles.where(F.col("n") >= least_count(shingles)).select("e", "n").toArrow()
-    order = spark.sparkContext.broadcast(Order(frequent.column("e").to_numpy(), frequent.column("n").to_numpy()))
+    order = spark.sparkContext.broadcast(Order(frequent.column("e").to_numpy(), frequent.column("n").to_numpy(), block))
 
     sets = core.written(documents.where("n > 0").groupBy("e").agg(F.min("d").alias("d"), F.bit_or(F.expr("shiftleft(1L, salt)")).alias("salts"), F.count("*").alias("rows")))
     # Rows of different salts have different ids; with fewer salts than rows an id may be repeated.
     sets = sets.select("e", "d", "salts", (F.col("rows") > F.bit_count("salts")).alias("many"))
-    members = core.written(bucket_members(prefixes(texts, order, words, percent)).withColumn("label", F.col("e")))
-
-    shared = core.written(members.groupBy("e").agg(F.collect_list("tok").alias("toks")))
+    buckets = core.written(bucket_members(prefixes(texts, order, words, percent, renamed)))
+    sketches = buckets.where("pos < 0").select("e", "sketch")
+    members = buckets.where("pos >= 0").drop("sketch").withColumn("label", F.col("e"))
 
     def ends(pairs):
         return pairs.select(F.col("x").alias("e")).union(pairs.select("y")).distinct()
 
-    def wanted(found):
-        return distinct_parts(core.written(fragments(texts, found.join(sets, "e").select("d", "e", "many"), words)))
+    def wanted(found, past):
+        once, several = distinct_parts(core.written(fragments(texts, found.join(sets, "e").select("d", "e", "many"), order, words, renamed)))
+        past += [once, several]
+        return once.where("NOT many").select("e", "f", "part").unionByName(several)
 
     tried = parts = links = labels = None
-    first = 0
-    for centres in (*ROUNDS, 0):
-        pairs = candidates(members, percent, first, centres)
+    past = [shingles, buckets]
+    for mode in ("centres", "nearest", "all"):
+        pairs = candidates(members.join(sketches, "e"), percent, mode)
         pairs = core.written(pairs if tried is None else pairs.join(tried, ["x", "y"], "left_anti"))
-        first += centres
+        past.append(pairs)
+        if not pairs.limit(1).count():
+            if mode == "nearest":  # no two labels have a pair left
+                break
+            continue
         tried = pairs.select("x", "y") if tried is None else tried.unionByName(pairs.select("x", "y"))
-        pairs = core.written(near_enough(pairs, shared, percent))
-        if pairs.limit(1).count():
-            if parts is None:
-                parts = wanted(ends(pairs))
-            elif (lacking := ends(pairs).join(parts.select("e").distinct(), "e", "left_anti")).limit(1).count():
-                parts = parts.unionByName(wanted(lacking))
-            found = core.written(verified(pairs, parts, percent))
-            links = found if links is None else links.unionByName(found)
-            labels = components.components(links)
-            if centres:
-                members = core.written(unresolved(members, labels))
+        lacking = ends(pairs) if parts is None else ends(pairs).join(parts.select("e").distinct(), "e", "left_anti")
+        if parts is None:
+            parts = wanted(lacking, past)
+        elif lacking.limit(1).count():
+            parts = parts.unionByName(wanted(lacking, past))
+        found = core.written(verified(pairs, parts, percent))
+        links = found if links is None else links.unionByName(found)
+        past += [found] if labels is None else [found, labels]
+        labels = components.components(links)
+        if mode != "all":
+            members = core.written(unresolved(members, labels))
+            past.append(members)
+    core.dropped(*past)
     labels = spark.createDataFrame([], "v long, label long") if labels is None else labels
 
     whole = sets.join(labels.withColumnRenamed("v", "e"), "e", "left").withColumn("label", F.coalesce("label", "e"))

@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 
 from quillstream.llm import components, jaccard_join
@@ -104,3 +105,37 @@ def test_repeated_rows_of_one_id_do_not_multiply_the_overlap(spark, documents):
         rows += [(10 * g + 3 + k, " ".join(w[56 - cut : 60 - cut] + tail + [f"g{g}z{k}x{i}" for i in range(90)])) for k, tail in enumerate((w[60 - cut :], other))]
     same(lambda r, parts: documents(r, 1), rows)
     same(documents, rows)
+
+
+def test_split_buckets_and_many_sets_that_barely_miss(spark, documents):
+    """Blocks of two sets; groups whose pairs lie on both sides of the threshold, so that all three rounds have work."""
+    rng, rows = random.Random(4), []
+    for g in range(6):
+        base = [f"g{g}b{i}" for i in range(60)]
+        for i in range(25):
+            w = list(base)
+            for _ in range(rng.randrange(1, 3)):
+                w[rng.randrange(60)] = f"v{g}x{i}y{rng.randrange(4)}"
+            rows.append((100 * g + i, " ".join(w)))
+    got = {r.doc_id: r.component_id for r in jaccard_join.join_documents(documents(rows, 3), block=2).collect()}
+    assert got == {d: c for d, _, c in brute(rows)}
+
+
+def test_bounds_and_fragments():
+    rng = np.random.default_rng(3)
+    every = rng.integers(-(1 << 63), 1 << 63, 4000)
+    order = jaccard_join.Order(every[:500], rng.integers(2, 100, 500))
+    for _ in range(50):
+        x, y = (np.sort(rng.choice(every, rng.integers(1, 900), replace=False)) for _ in range(2))
+        fx, fy = order.fragments(x), order.fragments(y)
+        assert set(fx) <= set(range(jaccard_join.FRAGMENTS)) and (order.place(x)[1] == (fx == jaccard_join.FRAGMENTS - 1)).all()
+        # A fragment is a piece of the order: along the sorted set its number never falls.
+        assert (np.diff(order.fragments(order.sort(x))) >= 0).all()
+        bound = jaccard_join.may_overlap(jaccard_join.sketch(x, fx)[None], jaccard_join.sketch(y, fy)[None])[0]
+        assert len(np.intersect1d(x, y)) <= bound <= min(len(x), len(y))
+
+
+def test_a_shared_hash_gives_way_to_the_second_one():
+    found = np.array([3, 5, 8], np.int64)
+    e, e2 = jaccard_join.set_id(found)
+    assert e != e2 and jaccard_join.set_id(found, frozenset([e])) == (e2, e2)
