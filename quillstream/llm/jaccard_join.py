@@ -325,15 +325,24 @@ def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
     return labelled.join(several, "tok", "left_semi")
 
 
+def among(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 1 << 24) -> DataFrame:
+    """The rows whose key may be among the wanted ones, by a bitmap of `bits` hashes (2 MB at any size); none that is goes."""
+    slot = F.pmod(F.xxhash64(key), F.lit(bits))
+    bitmap = wanted.select(F.bitmap_bucket_number(slot).alias("_bucket"), F.bitmap_bit_position(slot).alias("_bit")).groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bitmap"))
+    placed = rows.withColumns({"_bucket": F.bitmap_bucket_number(slot), "_bit": F.bitmap_bit_position(slot)})
+    octet = F.conv(F.hex(F.expr("substring(_bitmap, CAST(_bit div 8 AS INT) + 1, 1)")), 16, 10).cast("int")
+    hit = placed.join(F.broadcast(bitmap), "_bucket").where(octet.bitwiseAND(F.expr("shiftleft(1, CAST(_bit % 8 AS INT))")) != 0)
+    return hit.select(*rows.columns)
+
+
 def fragments(texts: DataFrame, wanted: DataFrame, order, words: int, renamed: frozenset) -> DataFrame:
     """(e, f, part, many): the part of each wanted set in each fragment, from every row of d. wanted: (d, e, many)."""
 
     def run(batches):
         for batch in batches:
-            rows = batch.filter(batch.column("want").is_valid())
-            want, many = rows.column("want").to_pylist(), rows.column("many").to_pylist()
+            want, many = batch.column("want").to_pylist(), batch.column("many").to_pylist()
             out = []
-            for k, e, _, found in _sets(rows, words, renamed):
+            for k, e, _, found in _sets(batch, words, renamed):
                 if e in want[k]:
                     of = order.value.fragments(found)
                     out += [(e, f, found[of == f], e in many[k]) for f in np.unique(of).tolist()]
@@ -342,7 +351,7 @@ def fragments(texts: DataFrame, wanted: DataFrame, order, words: int, renamed: f
                 yield pa.RecordBatch.from_arrays([pa.array(e, pa.int64()), pa.array(f, pa.int32()), pa.array(part, pa.list_(pa.int64())), pa.array(m, pa.bool_())], names=["e", "f", "part", "many"])
 
     by_doc = wanted.groupBy("d").agg(F.collect_set("e").alias("want"), F.collect_set(F.when(F.col("many"), F.col("e"))).alias("many"))
-    return texts.select("d", "t").join(by_doc, "d", "left").select("t", "want", "many").mapInArrow(run, "e long, f int, part array<long>, many boolean")
+    return among(texts.select("d", "t"), "d", wanted).join(by_doc, "d").select("t", "want", "many").mapInArrow(run, "e long, f int, part array<long>, many boolean")
 
 
 def distinct_parts(found: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -385,8 +394,9 @@ def join_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
         return pairs.select(F.col("x").alias("e")).union(pairs.select("y")).distinct()
 
     def wanted(found, past):
-        once, several = distinct_parts(core.written(fragments(texts, found.join(sets, "e").select("d", "e", "many"), order, words, renamed)))
-        past += [once, several]
+        asked = core.written(found.join(sets, "e").select("d", "e", "many"))
+        once, several = distinct_parts(core.written(fragments(texts, asked, order, words, renamed)))
+        past += [asked, once, several]
         return once.where("NOT many").select("e", "f", "part").unionByName(several)
 
     tried = parts = links = labels = None

@@ -139,3 +139,9 @@ def test_a_shared_hash_gives_way_to_the_second_one():
     found = np.array([3, 5, 8], np.int64)
     e, e2 = jaccard_join.set_id(found)
     assert e != e2 and jaccard_join.set_id(found, frozenset([e])) == (e2, e2)
+
+
+def test_bitmap_of_wanted_keys_loses_none(spark):
+    rows, wanted = spark.range(20000).withColumnRenamed("id", "d"), spark.range(0, 20000, 37).withColumnRenamed("id", "d")
+    got = {r.d for r in jaccard_join.among(rows, "d", wanted, 1 << 20).collect()}
+    assert set(range(0, 20000, 37)) <= got and len(got) < 1000
