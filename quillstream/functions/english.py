@@ -9,13 +9,32 @@ from . import text
 
 #: Sentence delimiters (no comma, apostrophe or hyphen) and contractions written without an apostrophe.
 DELIMITERS = r"[\.\?\!\;\:\n\r\t\(\)\[\]\{\}\"—–\/\<\>\=\+\*\#\@\$\%\^\&\_\\\|]+"
-CONTRACTIONS = """
-dont don't, cant can't, wont won't, im i'm, youre you're, theyre they're, weve we've, youve you've, ive i've, isnt isn't,
-arent aren't, wasnt wasn't, werent weren't, hasnt hasn't, havent haven't, hadnt hadn't, doesnt doesn't, couldnt couldn't,
-shouldnt shouldn't, wouldnt wouldn't, didnt didn't, that's that's, thats that's, what's what's, whats what's, it's it's,
-let's let's, lets let's
-"""
-CONTRACTION_MAP = dict(pair.split() for pair in CONTRACTIONS.replace("\n", " ").split(","))
+CONTRACTIONS = {
+    "dont": "don't",
+    "cant": "can't",
+    "wont": "won't",
+    "im": "i'm",
+    "youre": "you're",
+    "theyre": "they're",
+    "weve": "we've",
+    "youve": "you've",
+    "ive": "i've",
+    "isnt": "isn't",
+    "arent": "aren't",
+    "wasnt": "wasn't",
+    "werent": "weren't",
+    "hasnt": "hasn't",
+    "havent": "haven't",
+    "hadnt": "hadn't",
+    "doesnt": "doesn't",
+    "couldnt": "couldn't",
+    "shouldnt": "shouldn't",
+    "wouldnt": "wouldn't",
+    "didnt": "didn't",
+    "thats": "that's",
+    "whats": "what's",
+    "lets": "let's",
+}
 WORD = "^[a-z]+('[a-z]+)?$"
 
 
@@ -27,7 +46,7 @@ def prepared(x: Column) -> Column:
 def clean(token: Column, is_prepared: bool = False) -> Column:
     """The cleaned token; empty if it is no word of 1 to 25 letters."""
     t = F.regexp_replace(token if is_prepared else prepared(text.strip(token)), "^[^a-z]+|[^a-z]+$", "")
-    known = F.create_map(*[F.lit(x) for pair in CONTRACTION_MAP.items() for x in pair])
+    known = F.create_map(*[F.lit(x) for pair in CONTRACTIONS.items() for x in pair])
     t = F.coalesce(F.try_element_at(known, t), t)
     return F.when(t.rlike(WORD) & (F.length(t) <= 25), t).otherwise("")
 

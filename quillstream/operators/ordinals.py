@@ -5,33 +5,50 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import staging
 
-def _bucketed(df: DataFrame, bucket: Column, order: list[str], value: Column, out: str) -> DataFrame:
-    """Adds `out`, the sum of `value` over all rows before each in (bucket, order).
 
-    Buckets are summed with map-side combining, only the bucket table (one row each) is summed along in one task,
-    and rows are ordered within their own bucket.
+#: Ranges into which rows are dealt for an order over all of them, and sampled keys for each.
+BUCKETS, SAMPLED = 64, 32
+
+
+def range_bounds(df: DataFrame, key: str, buckets: int) -> list:
+    """Bounds of ranges of about equal numbers of rows, from a sample of about SAMPLED * buckets keys, chosen by their hash."""
+    share = max(1, df.count() // (SAMPLED * buckets))
+    sample = [r[0] for r in df.where(F.pmod(F.xxhash64(key), F.lit(share)) == 0).select(key).where(F.col(key).isNotNull()).distinct().collect()]
+    sample.sort(key=lambda x: x.encode() if isinstance(x, str) else x)
+    return sample[SAMPLED::SAMPLED]
+
+
+def _bucketed(df: DataFrame, key: str, value: Column, out: str, buckets: int) -> DataFrame:
+    """Adds `out`, the sum of `value` over all rows with a smaller key.
+
+    Rows are dealt into ranges of the key. Ranges are summed with map-side combining, only the table of ranges (at most
+    `buckets` rows) is summed along in one task, and rows are ordered within their own range.
     """
-    rows = df.withColumns({"_b": bucket, "_v": value})
+    rows = staging.staged(df.withColumn("_v", value))
+    bounds = F.array(*[F.lit(x) for x in range_bounds(rows, key, buckets)]).cast(f"array<{dict(rows.dtypes)[key]}>")
+    rows = rows.withColumn("_b", F.size(F.filter(bounds, lambda x: x <= F.col(key))))
     sums = rows.groupBy("_b").agg(F.sum("_v").alias("_s"))
     offsets = sums.select(F.col("_b").alias("_ob"), (F.sum("_s").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_s")).alias("_base"))
-    local = F.sum("_v").over(Window.partitionBy("_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_v")
-    return rows.withColumn("_l", local).join(offsets, F.col("_b").eqNullSafe(F.col("_ob"))).withColumn(out, (F.col("_l") + F.col("_base")).cast("long")).drop("_b", "_v", "_l", "_ob", "_base")
+    local = F.sum("_v").over(Window.partitionBy("_b").orderBy(key).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_v")
+    placed = rows.withColumn("_l", local).join(F.broadcast(offsets), F.col("_b") == F.col("_ob"))
+    return placed.withColumn(out, (F.col("_l") + F.col("_base")).cast("long")).drop("_b", "_v", "_l", "_ob", "_base")
 
 
-def word_order(words: DataFrame, word: str = "word", prefix: int = 3, out: str = "idx") -> DataFrame:
-    """Adds the 0-based ordinal of each distinct word in UTF-8 byte order; buckets are leading characters."""
-    return _bucketed(words, F.substring(F.col(word), 1, prefix), [word], F.lit(1), out)
+def word_order(words: DataFrame, word: str = "word", out: str = "idx", buckets: int = BUCKETS) -> DataFrame:
+    """Adds the 0-based ordinal of each distinct word in UTF-8 byte order."""
+    return _bucketed(words, word, F.lit(1), out, buckets)
 
 
-def dense_order(df: DataFrame, key: str, out: str = "idx", width: int = 1 << 16) -> DataFrame:
-    """Adds the 0-based ordinal by a unique long key; buckets are ranges of the key."""
-    return _bucketed(df, F.floor(F.col(key) / F.lit(width)), [key], F.lit(1), out)
+def dense_order(df: DataFrame, key: str, out: str = "idx", buckets: int = BUCKETS) -> DataFrame:
+    """Adds the 0-based ordinal by a unique long key."""
+    return _bucketed(df, key, F.lit(1), out, buckets)
 
 
-def running_offset(df: DataFrame, key: str, value: Column, out: str = "offset", width: int = 1 << 16) -> DataFrame:
+def running_offset(df: DataFrame, key: str, value: Column, out: str = "offset", buckets: int = BUCKETS) -> DataFrame:
     """Adds the sum of `value` over all rows with a smaller unique long key."""
-    return _bucketed(df, F.floor(F.col(key) / F.lit(width)), [key], value, out)
+    return _bucketed(df, key, value, out, buckets)
 
 
 def quantise(df: DataFrame, freq: str = "freq", levels: int = 16, out: str = "code") -> DataFrame:

@@ -30,12 +30,12 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deals a table of few files out to all cores: a small file's row group is a single task's work otherwise.
+    """Deals a scan of fewer partitions than cores out to all cores: a small file's row group is a single task's work otherwise.
 
-    Tables of many files are left as they are read.
+    Larger scans stay as they are read.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df._jdf.queryExecution().toRdd().getNumPartitions() < cores else df
 
 
 def english_documents(spark, sf_dir) -> DataFrame:

@@ -34,7 +34,7 @@ def prepared(x: str) -> str:
     return f"translate(lower({x}), '’`', '''''')"
 
 
-_MAP = "MAP {" + ", ".join(f"{quoted(a)}: {quoted(b)}" for a, b in english.CONTRACTION_MAP.items()) + "}"
+_MAP = "MAP {" + ", ".join(f"{quoted(a)}: {quoted(b)}" for a, b in english.CONTRACTIONS.items()) + "}"
 
 
 def clean(t: str) -> str:

@@ -1,4 +1,4 @@
-"""Scans: text and JSON files to DataFrames with explicit schemas. A missing optional source is an empty table."""
+"""Scans: text and JSON files to DataFrames with explicit schemas. A missing source raises; a missing optional one is an empty table."""
 
 from __future__ import annotations
 
@@ -19,8 +19,8 @@ def valid_utf8(df: DataFrame) -> DataFrame:
     return df.withColumn("value", F.replace(F.make_valid_utf8("value"), F.lit("�"), F.lit("")))
 
 
-def lines(spark: SparkSession, path: str, optional: bool = True) -> DataFrame:
-    """(source, line_no, value); line_no increases along each file."""
+def lines(spark: SparkSession, path: str, optional: bool = False) -> DataFrame:
+    """(source, line_no, value); line_no increases along each file. An absent path raises, unless the source is optional."""
     try:
         df = spark.read.text(path)
     except AnalysisException:
@@ -49,7 +49,7 @@ def line_candidates(df: DataFrame) -> DataFrame:
 def csv_field(df: DataFrame) -> DataFrame:
     """The third field of semicolon lines, unquoted; shorter lines go."""
     parts = F.split("value", ";")
-    return df.where(F.size(parts) >= 3).withColumn("value", parts[2])
+    return df.where(F.size(parts) >= 3).withColumn("value", F.get(parts, F.lit(2)))
 
 
 def csv_candidates(df: DataFrame) -> DataFrame:
@@ -82,14 +82,19 @@ def json_texts(df: DataFrame) -> DataFrame:
         """
     )
     strings = flat.where("found IS NOT NULL AND schema_of_variant(found) = 'STRING'")
-    return strings.select("block_id", "pos", "pos2", "k", F.expr("CAST(found AS STRING)").alias("text"))
+    # The place of a text in its block: item, item within the item (below 2^20), key (below 16).
+    seq = F.shiftleft(F.col("pos").cast("long"), 24) + F.shiftleft(F.col("pos2").cast("long"), 4) + F.col("k")
+    return strings.select("block_id", "pos", "pos2", "k", seq.alias("seq"), F.expr("CAST(found AS STRING)").alias("text"))
 
 
-def json_files(spark: SparkSession, folder: str, least_bytes: int = 1000) -> DataFrame:
-    """(block_id, value): each *.json file of more than `least_bytes`, numbered by path."""
-    df = spark.read.text(folder, wholetext=True, pathGlobFilter="*.json").select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
+def json_files(spark: SparkSession, folder: str, least_bytes: int = 1000, names: str = "*.json") -> DataFrame:
+    """(block_id, value): each *.json file of more than `least_bytes`; block_id is its ordinal by path."""
+    from ..operators.ordinals import word_order
+
+    df = spark.read.text(folder, wholetext=True, pathGlobFilter=names).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size"))
     kept = valid_utf8(df).where(F.col("size") > least_bytes)
-    return kept.select(F.xxhash64("path").alias("block_id"), "value")
+    numbered = word_order(kept.select("path"), "path", "block_id")
+    return kept.join(numbered, "path").select("block_id", "value")
 
 
 def instruction_texts(df: DataFrame) -> DataFrame:
@@ -101,9 +106,10 @@ def instruction_texts(df: DataFrame) -> DataFrame:
 def pair_counts(df: DataFrame) -> DataFrame:
     """(w1, w2, cnt) of `w1 w2<TAB>count` lines; other lines go."""
     parts = F.split("value", "\t")
-    words = text.tokens(parts[0])
+    words, number = text.tokens(F.get(parts, F.lit(0))), text.strip(F.get(parts, F.lit(1)))
     rows = df.where((F.size(parts) == 2) & (F.size(words) == 2))
-    return rows.select(words[0].alias("w1"), words[1].alias("w2"), F.when(text.strip(parts[1]).rlike("^[+-]?[0-9]+$"), text.strip(parts[1]).try_cast("long")).alias("cnt")).where("cnt IS NOT NULL")
+    count = F.when(number.rlike("^[+-]?[0-9]+$"), number.try_cast("long"))
+    return rows.select(F.get(words, F.lit(0)).alias("w1"), F.get(words, F.lit(1)).alias("w2"), count.alias("cnt")).where("cnt IS NOT NULL")
 
 
 def combined_entries(df: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 
 SCHEMA = "seed_no int, w1 string, pos int, w2 string"
@@ -36,32 +38,12 @@ BENGALI = """
 মেসেজ: দাও করব দিয়েছি পেয়েছি
 """
 
-#: The first English seeds. A full list is a parameter: a text file in this form (see `read`).
-ENGLISH = """
-how: are is about do can was
-are: you we they there all
-what: are is about do did happened time
-where: are is do did were can
-when: are will can is do did
-why: are is not did do would
-who: is are was will did
-thank: you god heavens
-thanks: for a again so to
-you: are can will have know welcome too
-i: am will have can know think love want need
-i'm: good fine sorry here ready going doing glad
-don't: know worry think have want like forget
-can't: wait believe find do see hear complain
-it's: a all been time okay good great hard
-let: me us them him her
-see: you it if what how
-please: let help find send call check
-good: morning night luck job idea afternoon evening
-"""
+#: The English seeds, a plain text file beside this module.
+ENGLISH = (Path(__file__).parent / "seeds_en.txt").read_text()
 
 
 def parse(lines: str) -> list[tuple[int, str, int, str]]:
-    pairs = [line.split(":", 1) for line in lines.splitlines() if line.strip()]
+    pairs = [line.split(":", 1) for line in lines.splitlines() if line.strip() and not line.startswith("#")]
     return [(k, w1.strip(), pos, w2) for k, (w1, rest) in enumerate(pairs) for pos, w2 in enumerate(rest.split())]
 
 

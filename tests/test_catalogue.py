@@ -4,7 +4,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from quillstream.plans import catalogue
+from quillstream.plans import catalogue, files  # noqa: F401
 
 TABLES = "documents conversations benchmark labels events part".split()
 
