@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -100,8 +101,27 @@ def test_odd_rows(spark, documents):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 2, 5]
 
 
-def test_walks_for():
-    assert decontamination.walks_for(0.85, 0.99) == 3 and decontamination.walks_for(0.5, 0.5) == 1
+def test_plan_reaches_the_target_recall():
+    """Measured again on other random items: every length class, the whole edit budget spent."""
+    for n in (5, 7, 10, 14, 16, 20, 30, 59, 200):
+        k = n // 5
+        m, walks = decontamination.plan(5 * min(k, 12), min(k, 12), 0.99)
+        assert 1 <= walks <= decontamination.WALKS and decontamination.recalls(n, k, 300, 99)[m - 1, walks - 1] >= 0.97
+    assert decontamination.plan(4, 0, 0.99)[1] == 1
+
+
+def test_equal_stretches_walk_alike_and_texts_are_not_left():
+    rng = np.random.default_rng(5)
+    words = rng.integers(1, 1 << 62, 30).astype(np.uint64)
+    x = np.concatenate([words, [0], words[:3], [0]]).astype(np.uint64)
+    for t in range(decontamination.WALKS):
+        for m, s in enumerate(decontamination.signatures(x, t), 1):
+            assert len(np.unique(s[:25])) == 25
+            reach = decontamination.COORDINATES[t][m - 1] + 1
+            if reach <= 3:
+                assert s[0] == s[31]
+        again = list(decontamination.signatures(np.concatenate([words[:3], [0], rng.integers(1, 9, 20), [0]]).astype(np.uint64), t))[-1]
+        assert again[0] == s[31]
 
 
 def test_pipeline(spark, sf_dir):
@@ -172,3 +192,20 @@ def test_recall_at_the_full_edit_budget():
     data, offsets = np.frombuffer("".join(docs).encode(), np.uint8), np.cumsum([0] + [len(d) for d in docs])
     found = decontamination.search(data, offsets, items)
     assert {(i, i): found[i, i][0] for i in range(len(texts))} == {(i, i): edit_distance(t.split(), d.split()) for i, (t, d) in enumerate(zip(texts, docs, strict=True))}
+
+
+def test_many_items_are_indexed_quickly():
+    rng = random.Random(1)
+    vocab = [f"v{i}" for i in range(3000)]
+    texts = [" ".join(rng.choices(vocab, k=rng.randint(5, 60))) for _ in range(5000)]
+    began = time.time()
+    items = decontamination.Items(list(range(5000)), texts, 0.8)
+    assert time.time() - began < 15 and len(items.words) == 5000
+
+
+def test_clashing_columns_repeated_rows_and_a_very_long_text(spark, documents):
+    item = " ".join(f"w{i}" for i in range(20))
+    rows = [(1, "x " * 200000 + item), (2, item), (2, item), (3, "clean")]
+    clash = documents(rows).withColumnRenamed("lang", "t").withColumnRenamed("source", "distance")
+    got = sorted((r.doc_id, r.distance, r.start_word) for r in decontamination.contaminated(clash, items_of(spark, [(7, item), (7, item)])).collect())
+    assert got == [(1, 0, 200000)] * 2 + [(2, 0, 0)] * 4
