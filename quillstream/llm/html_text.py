@@ -2,13 +2,15 @@
 
 A page is a sequence of words and tags. A word's weight is positive unless it stands in a link or a boilerplate
 container; a tag's weight is negative. The weights are smoothed log-odds, learned from pages whose own markup labels
-the article (`<article>`, `<main>` or role="main"); these labels are never read when a page is judged. One linear scan
+the article (`<article>`, `<main>` or role="main"). When a page is judged these labels add no weight; as elements they are read
+like others: an unclosed container ends where an article begins, and a header inside one is its own. Containers are known
+by element and by the names in class, id and role (fixed lists). One linear scan
 finds the contiguous region with the largest sum. It is widened to whole blocks; scripts, styles, forms, notices, adverts,
 side matter and reader comments inside it are left out.
 
 Text: character references decoded, white space inside a block made one space, blocks trimmed and joined by two \\n.
 
-Nulls: null or empty html gives an empty text; null or repeated page ids keep a row each. An unclosed tag ends with
+Tokens take linear time, whatever is left unclosed, so very long pages are read whole. Nulls: null or empty html gives an empty text; null or repeated page ids keep a row each. An unclosed tag ends with
 its page; an unclosed silent element other than script and style silences nothing. Of regions with equal sums the first is taken. An empty table gives an empty result. Without labelled pages
 the built-in weights hold. Other columns are ignored.
 """
@@ -33,16 +35,22 @@ FLAT = frozenset("button select".split())
 BOILERPLATE = frozenset("nav footer aside form menu dialog".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Words of class, id and role attributes that mark side matter.
-SIDE = re.compile(
-    r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|advertising|banner|sponsor(?:ed)?|promo(?:tion)?|cookies?|consent|notices?|alert|popup|modal|overlay|newsletter|subscribe|subscription|signup|login|"
-    r"menu|nav|navbar|navigation|breadcrumbs?|sidebar|side|rail|widget|related|recommended|share|sharing|social|comments?|replies|reply|disqus|respond|footer|masthead|pagination|pager|toolbar|search|contentinfo|complementary|legal|copyright)(?:$|[\s_-])",
-    re.I,
+SIDE = frozenset(
+    "ad ads advert adverts advertisement advertisements advertising banner sponsor sponsored promo promotion cookie cookies consent notice notices alert popup modal overlay newsletter subscribe "
+    "subscription signup login menu nav navbar navigation breadcrumb breadcrumbs sidebar side rail widget related recommended share sharing social comment comments replies reply disqus respond footer "
+    "masthead pagination pager toolbar search contentinfo complementary legal copyright".split()
 )
+#: Words that name the article itself, those that do so unless side matter is named beside them, and words that
+#: say that a page has or lacks something.
+ARTICLE = frozenset("article main post entry story".split())
+CONTENT = frozenset("content text body".split())
+LAYOUT = frozenset("no not without has with hide".split())
 #: A page's header, as against an article's.
 HEAD = re.compile(r"(?:^|\s)(?:(?:site|page|top|global)[-_]?)?header(?:$|\s)|(?:^|\s)top[-_]?bar(?:$|\s)", re.I)
-TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*>|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)", re.S)
-LOOSE = re.compile(r"<(/?)([a-zA-Z][\w:-]*)([^>]*)>", re.S)
-ATTRIBUTE = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+NAME = re.compile(r"<(/?)([a-zA-Z][\w:-]*+)")
+PLAIN = re.compile(r"[^>\"']*+")
+ATTRIBUTE = re.compile(r"(?:class|id|role)\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+MAIN_ROLE = re.compile(r"role\s*+=\s*+[\"']?main\b")
 SPACES = re.compile(r"\s+")
 #: Weights where no labelled page is at hand: word kinds and tags.
 DEFAULT = {"word": 1.0, "link word": -0.5, "side word": -0.05, "other tag": -2.0, "side tag": -0.1} | {a + t: -0.3 for a in ("<", "</") for t in ("p", "br", "b", "i", "em", "strong", "a", "span", "h1", "h2", "h3", "li")}
@@ -50,11 +58,55 @@ DEFAULT = {"word": 1.0, "link word": -0.5, "side word": -0.05, "other tag": -2.0
 BOUND = {"link word": -1.0, "side word": -0.05, "side tag": -0.1}
 
 
+def marks_side(value: str) -> bool:
+    """Whether an attribute's names mark side matter: the first that names either side matter or an article decides."""
+    for name in value.lower().split():
+        words = re.split("[-_]+", name)
+        if words[0] in LAYOUT:
+            continue
+        if words[-1] in ARTICLE:
+            return False
+        if not SIDE.isdisjoint(words) or HEAD.search(name):
+            return True
+        if words[-1] in CONTENT:
+            return False
+    return False
+
+
 def is_side(name: str, attributes: str) -> bool:
     if name in BOILERPLATE:
         return True
-    marks = ["".join(m) for m in ATTRIBUTE.findall(attributes)]
-    return name not in ("html", "body", "article", "main") and any(SIDE.search(m) or HEAD.search(m) for m in marks)
+    return name not in ("html", "body", "article", "main") and any(marks_side("".join(m)) for m in ATTRIBUTE.findall(attributes))
+
+
+def tag_end(page: str, i: int) -> int:
+    """Where the `>` of the tag stands whose names begin at i, or -1. One inside quotes does not count, unless they are left open."""
+    p = i
+    while (p := PLAIN.match(page, p).end()) < len(page) and page[p] != ">":
+        close = page.find(page[p], p + 1)
+        inner = page.find(">", p + 1, close) if close >= 0 else p
+        if close < 0 or inner >= 0 and page.find("<", inner, close) >= 0:
+            return page.find(">", p)  # the quote is never closed, or by the quote of a later tag
+        p = close + 1
+    return p if p < len(page) else page.find(">", i)
+
+
+def token(page: str, i: int, last: int) -> tuple[int, str | None, tuple[bool, str, str] | None]:
+    """(end, text or None, (closing, name, attributes) or None) of the token at i; last: the place of the page's last `>`.
+
+    Every step moves past what it has read, so a page takes linear time.
+    """
+    if page.startswith("<!--", i) or page[i] == "<" and i < last:
+        for opening, closing in (("<!--", "-->"), ("<![CDATA[", "]]>"), ("<!", ">"), ("<?", ">")):
+            if page.startswith(opening, i):
+                end = page.find(closing, i + len(opening))
+                return (len(page) if end < 0 else end + len(closing)), None, None
+        m = NAME.match(page, i)
+        if m and (end := tag_end(page, m.end())) >= 0:
+            return end + 1, None, (m[1] == "/", m[2].lower(), page[m.end() : end])
+    end = page.find("<", i + 1) if i < last else -1
+    end = len(page) if end < 0 else end
+    return end, page[i:end], None
 
 
 def parse(page: str) -> list[tuple[str, str, str]]:
@@ -62,64 +114,64 @@ def parse(page: str) -> list[tuple[str, str, str]]:
     `silent`, `side`, `link` or `plain`. In side matter tags have the kind `side`."""
     out: list[tuple[str, str, str]] = []
     side: list[list] = []  # [element, depth] of the open containers
-    silent, link, labelled, i, n = "", 0, 0, 0, len(page)
-    article, unclosed = 0, set()
+    silent, link, i, n, last = "", 0, 0, len(page), page.rfind(">")
+    article, stops, within = 0, {}, Counter()
     while i < n:
         if silent:
-            stop = rf"|<{silent}\b" if silent in FLAT else ""
-            stop = "" if silent in RAW else rf"|</(?:article|main|body)\b{stop}"
-            m = None if silent in unclosed else re.compile(rf"(</{silent}\s*>){stop}", re.I).search(page, i)
-            if m and m[1] is None:
+            m = stops.get(silent)
+            if silent not in stops or m and m.start() < i:
+                own = rf"|<{silent}\b" if silent in FLAT else ""
+                other = "" if silent in RAW else rf"|</(?:article|main|body)\b{own}"
+                m = stops[silent] = re.compile(rf"(</{silent}\s*+>){other}", re.I).search(page, i)
+            if m and m[1] is None or not m and silent not in RAW:
                 pass  # left open where its article ends or the next of its kind begins: it silences nothing
-            elif m or silent in RAW:
+            else:
                 body, i = (page[i : m.start()], m.end()) if m else (page[i:], n)
                 out.append(("text", "silent", body))
-            else:
-                unclosed.add(silent)  # without an end tag it silences nothing
             silent = ""
             continue
-        m = TOKEN.match(page, i) or LOOSE.match(page, i)
-        if not m:
-            i += 1
-            continue
-        i = m.end()
-        if m.lastindex is None:
-            continue
-        if m.re is TOKEN and m[4] is not None:
-            out.append(("text", "side" if side else "link" if link else "plain", m[4]))
+        i, words, tag = token(page, i, last)
+        if words is not None:
+            out.append(("text", "side" if side else "link" if link else "plain", words))
+        if tag is None:
             continue
-        name, closing, attributes = m[2].lower(), m[1] == "/", m[3]
-        if name in ("article", "main") or not closing and "main" in attributes and re.search(r"role\s*=\s*[\"']?main", attributes):
+        closing, name, attributes = tag
+        if name in ("article", "main") or not closing and MAIN_ROLE.search(attributes):
             article = max(0, article + (-1 if closing else 1))
             if not closing:
                 side.clear()  # an unclosed container ends where the article begins
+                within.clear()
             out.append(("label", "out" if not article else "in", ""))
         if name in SILENT and not closing and not attributes.endswith("/"):
             silent = name
         if side and name in ("p", "li") and not closing and side[-1][0] == name:
-            side.pop()  # these need no closing tag
+            within[side.pop()[0]] -= 1  # these need no closing tag
         if side:
             if name == side[-1][0]:
                 side[-1][1] += -1 if closing else 1
                 if side[-1][1] == 0:
-                    side.pop()
+                    within[side.pop()[0]] -= 1
             elif not closing and name not in VOID and is_side(name, attributes):
                 side.append([name, 1])
-            elif closing and any(name == x[0] for x in side):
-                while side and side[-1][0] != name:
-                    side.pop()
+                within[name] += 1
+            elif closing and within[name]:
+                while side[-1][0] != name:
+                    within[side.pop()[0]] -= 1
                 side[-1][1] -= 1
                 if side[-1][1] == 0:
-                    side.pop()
+                    within[side.pop()[0]] -= 1
             out.append(("side", name, ""))
             continue
         is_head = name == "header" and not article
         if not closing and name not in VOID and not attributes.endswith("/") and (is_head or is_side(name, attributes)):
             side.append([name, 1])
+            within[name] += 1
             out.append(("side", name, ""))
             continue
         if name == "a":
-            link = 0 if closing else 1
+            link = int(not closing and "href" in attributes.lower())
+        elif closing and name in BLOCKS:
+            link = 0  # a link left open ends with its block
         out.append(("close" if closing else "open", name, ""))
     return out
 

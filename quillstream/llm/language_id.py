@@ -5,25 +5,26 @@ divided by the geometric mean of their own counts. Nystrom landmarks give each t
 a one-versus-rest kernel ridge regression on them has a column of weights for each language. Texts are scored in
 batches by matrix products: presence x landmark presence, then x weights.
 
-Fitting takes at most `per_language` labelled texts (those of the smallest id hashes) of each language, of which the
+Fitting takes at most `per_language` labelled texts (those of the smallest hashes of id and text) of each language, of which the
 first `landmarks_per_language` are landmarks: two bounds that do not grow with the table. Whole texts are used throughout.
 
-Nulls: a null text, or one without letters, gets `und` and score 0; a null language is not learned from. Repeated rows
+Very long texts are scored whole, by their distinct n-grams. Nulls: a null text, or one without letters, gets `und` and score 0; a null language is not learned from. Repeated rows
 are judged alike; ties go to the alphabetically first language. Without any labelled row every text is `und`. Other
 columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-LETTER = re.compile(r"[^\W\d_]")
+#: Superscripts, fractions and numerals are no letters.
+LETTER = regex.compile(r"\p{L}")
 #: The first code of the n-grams of each n, and the end.
 FIRST = [0, 0, 1 << 8, (1 << 8) + (1 << 16), (1 << 8) + (1 << 16) + (1 << 24)]
 
@@ -100,20 +101,17 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def fit_on(labelled: DataFrame, per_language: int = 240, landmarks_per_language: int = 16) -> Model | None:
     """labelled: (id, text, lang). Collects at most per_language texts of each language."""
-    rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").withColumn("at", F.shiftrightunsigned(F.xxhash64("id"), 1) / float(1 << 63))
+    rows = labelled.where("lang IS NOT NULL AND text IS NOT NULL").where(F.col("text").rlike(r"\p{L}")).withColumn("at", F.shiftrightunsigned(F.xxhash64("id", "text"), 1) / float(1 << 63))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
     share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 1.5 * per_language / n))])
-    sample = rows.where(F.col("at") <= share[F.col("lang")]).select("id", "text", "lang", "at").collect()
-    taken: dict[str, int] = {}
-    texts, labels = [], []
-    for r in sorted(sample, key=lambda r: (r["at"], r["text"], r["lang"])):
-        if taken.get(r["lang"], 0) < per_language and LETTER.search(r["text"]):
-            taken[r["lang"]] = taken.get(r["lang"], 0) + 1
-            texts.append(r["text"])
-            labels.append(r["lang"])
-    return fit(texts, labels, landmarks_per_language)
+    # Repeated rows count once, however many there are, and no more than the bound reach the driver.
+    near = rows.where(F.col("at") <= share[F.col("lang")]).groupBy("lang", "at").agg(F.min("text").alias("text"))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("at"))
+    sample = near.withColumn("_k", first).where(F.col("_k") <= per_language).collect()
+    sample.sort(key=lambda r: (r["at"], r["text"], r["lang"]))
+    return fit([r["text"] for r in sample], [r["lang"] for r in sample], landmarks_per_language)
 
 
 def keep_identified(docs: DataFrame, model: Model | None, text_col: str = "text", batch: int = 128) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -190,3 +191,69 @@ def test_html_without_end_tags_keeps_the_rest(element):
     assert html_text.main_text(f"<p>{first}</p><script>var a = 1;", html_text.DEFAULT) == first
     later = f"<article><p>{first}</p><{element} class=x><p>{second}</p></article><p>More words follow here.</p><{element}>silent</{element}>"
     assert html_text.main_text(later, html_text.DEFAULT) == f"{first}\n\n{second}\n\nMore words follow here."
+
+
+TEXT = "One two three four five six seven eight nine ten."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html><head><title>T</title><meta charset=utf-8><body><p>{}</p></body></html>",
+        '<html><body class="layout no-sidebar"><div class="layout no-sidebar"><p>{}</p></div></body></html>',
+        '<div class="content social"><p>{}</p></div>',
+        '<div id="search-results-article"><p>{}</p></div>',
+        '<p><a name=x>{}</p>',
+        '<p><a name="x>{}</p><p class="y"></p>',
+        '<p title="a > b">{}</p>',
+        "<div class='comment-list'><p>Reader words here.</p></div><p>{}</p><div class=\"sidebar-left\">Side words</div>",
+        "<p>{}</p><!-- not this",
+        "<svg><path><p>{}</p></body>",
+    ],
+)
+def test_html_fragments(page):
+    assert html_text.main_text(page.format(TEXT), html_text.DEFAULT) == TEXT
+
+
+@pytest.mark.parametrize("part", ["<a", '<a "', "<a '>", "<svg>", "<nav><aside>", "</nav><aside>", "<!--", "&amp", '<p class="', "<button>", "<div class='ad'>x", "<"])
+def test_long_pages_take_linear_time(part):
+    page = "<p>" + TEXT + "</p>" + part * (400_000 // len(part)) + "</body>"
+    began = time.time()
+    html_text.main_text(page, html_text.DEFAULT)
+    assert time.time() - began < 8
+
+
+def test_region_against_brute_force_without_labels(spark, sf_dir):
+    """The region of pages whose labels are taken out is the best of all regions, by their tokens' weights."""
+    weights = html_text.fit_on(table(spark, sf_dir, "pages"))
+    for r in table(spark, sf_dir, "pages").orderBy("page_id").limit(12).collect():
+        page = re.sub(r"</?article>", "", r.html)
+        scores = [weights.get(k, weights["other tag"]) * n if n else 0.0 for k, n in html_text.kinds(html_text.parse(page))]
+        i, j = html_text.best_region(scores)
+        sums = np.concatenate([[0], np.cumsum(scores)])
+        assert abs(sums[j] - sums[i] - max(0, (sums[None, :] - sums[:, None])[np.triu_indices(len(sums))].max())) < 1e-6
+        inner = re.search(r"<article>(.*?)</article>", r.html, re.S)[1]
+        longest = max(re.split(r"</?(?:p|h1)>", inner), key=len)
+        assert html_text.entities.unescape(html_text.SPACES.sub(" ", re.sub(r"<[^>]*>", "", longest))).strip() in html_text.main_text(page, weights)
+
+
+def test_html_table_with_odd_rows(spark):
+    schema = "page_id long, url string, html string, text string, words int"
+    rows = [(1, "u", f"<p>{TEXT}</p>", "old", 1), (1, "u", f"<p>{TEXT}</p>", "old", 1), (None, None, None, None, None), (2, "u", "", "x", 2)]
+    got = html_text.extract(spark.createDataFrame(rows, schema), html_text.DEFAULT).collect()
+    assert sorted(r.text for r in got) == ["", "", TEXT, TEXT] and got[0].words in (1, 2, None)
+    assert html_text.extract(spark.createDataFrame([], schema), html_text.fit_on(spark.createDataFrame([], schema))).count() == 0
+
+
+def test_language_id_odd_rows(spark, documents):
+    odd = ["²", "①", "Ⅷ", "½ 12", "...", "日本"]
+    rows = [(i, t) for i, t in enumerate(odd)] + [(20, "the cat sat on the mat", "en"), (21, "le chat est sur la table", "fr")] + [(22, "repeated row of one id", "en")] * 50 + [(23, "mot " * 300000, None)]
+    clash = documents(rows).withColumnRenamed("source", "at").withColumnRenamed("n_chars", "score")
+    got = {r.doc_id: r.lang_pred for r in language_id.predict_documents(clash).collect()}
+    assert [got[i] for i in range(5)] == ["und"] * 5 and got[5] != "und" and got[23] != "und"
+
+
+def test_exact_dedup_of_rows_without_id(spark, documents):
+    rows = [(None, "a  b")] * 70 + [(None, "c")] * 3 + [(5, "a b"), (4, "a\tb"), (4, "a b"), (9, None)]
+    got = sorted((r.doc_id or 0, r.keep_id or 0, r.group_size, r.kept) for r in exact_dedup.exact_dedup(documents(rows)).collect())
+    assert got == sorted([(0, 4, 73, False)] * 70 + [(0, 0, 3, True)] * 3 + [(5, 4, 73, False), (4, 4, 73, True), (4, 4, 73, True), (9, 9, 1, True)])
