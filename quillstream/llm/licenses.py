@@ -1,10 +1,10 @@
 """Operator 10: licence recognition by sentence rules.
 
-A text is cut into sentences, each normalised (lower case, words only, holders and years left out). A sentence is mapped
-to the identifier of the known licence sentence that it holds. The sequence of a document's identifiers is then
+A text is cut into sentences, each normalised (lower case, words only). A sentence is mapped to the identifiers of the known
+licence sentences that it holds word for word; holders, years and comment marks may stand around them. The sequence of a document's identifiers is then
 matched against ordered rules, the longest first; a matched stretch is used once.
 
-Nulls: a null or empty text has no licence; null and repeated ids keep a row each. Overlapping rules: the longer rule wins,
+Very long texts are scanned whole, sentence by sentence. Nulls: a null or empty text has no licence; null and repeated ids keep a row each. Overlapping rules: the longer rule wins,
 then the earlier one in the table. An empty table gives an empty result. Other columns are ignored.
 """
 
@@ -32,13 +32,36 @@ SENTENCES = {
     "bsd-source": "redistributions of source code must retain the above copyright notice",
     "bsd-binary": "redistributions in binary form must reproduce the above copyright notice",
     "bsd-names": "may be used to endorse or promote products derived from this software without specific prior written permission",
+    "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "isc-as-is": "the software is provided as is and the author disclaims all warranties",
+    "zlib-as-is": "this software is provided as is without any express or implied warranty",
+    "zlib-origin": "the origin of this software must not be misrepresented",
+    "boost-notice": "distributed under the boost software license version 1 0",
+    "boost-grant": "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation covered by this license",
+    "unlicense": "this is free and unencumbered software released into the public domain",
+    "wtfpl": "do what the fuck you want to public license",
+    "epl1-notice": "made available under the terms of the eclipse public license v1 0",
+    "epl2-notice": "made available under the terms of the eclipse public license 2 0",
+    "epl2-notice-2": "made available under the terms of the eclipse public license v 2 0",
+    "artistic2-notice": "under the terms of the artistic license 2 0",
     "gpl3-notice": "licensed under the gnu general public license version 3",
     "gpl2-notice": "licensed under the gnu general public license version 2",
     "gpl-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license",
     "gpl-v3": "either version 3 of the license or at your option any later version",
     "gpl-v2": "either version 2 of the license or at your option any later version",
+    "gpl2-only": "under the terms of the gnu general public license version 2 as published by the free software foundation",
+    "lgpl-free": "is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license",
+    "lgpl-v21": "either version 2 1 of the license or at your option any later version",
+    "agpl-free": "is free software you can redistribute it and or modify it under the terms of the gnu affero general public license",
+    "agpl-notice": "licensed under the gnu affero general public license",
     "lgpl-notice": "licensed under the gnu lesser general public license",
     "mpl-notice": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "mpl-copy": "if a copy of the mpl was not distributed with this file you can obtain one at",
+    "cc-by-4-work": "licensed under a creative commons attribution 4 0 international license",
+    "cc-by-sa-4-work": "licensed under a creative commons attribution sharealike 4 0 international license",
+    "cc-by-nc-4-work": "licensed under a creative commons attribution noncommercial 4 0 international license",
+    "cc-by-nd-4-work": "licensed under a creative commons attribution noderivatives 4 0 international license",
+    "cc-by-nc-sa-4-work": "licensed under a creative commons attribution noncommercial sharealike 4 0 international license",
     "cc-by-nc-4": "licensed under cc by nc 4 0",
     "cc-by-sa-4": "licensed under cc by sa 4 0",
     "cc-by-4": "licensed under cc by 4 0",
@@ -54,6 +77,28 @@ RULES = [
     ("MIT", ["mit-notice-2"]),
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
+    ("ISC", ["isc-grant", "isc-as-is"]),
+    ("ISC", ["isc-grant"]),
+    ("Zlib", ["zlib-as-is", "zlib-origin"]),
+    ("BSL-1.0", ["boost-notice"]),
+    ("BSL-1.0", ["boost-grant"]),
+    ("Unlicense", ["unlicense"]),
+    ("WTFPL", ["wtfpl"]),
+    ("EPL-1.0", ["epl1-notice"]),
+    ("EPL-2.0", ["epl2-notice"]),
+    ("EPL-2.0", ["epl2-notice-2"]),
+    ("Artistic-2.0", ["artistic2-notice"]),
+    ("GPL-2.0", ["gpl2-only"]),
+    ("LGPL-2.1", ["lgpl-free", "lgpl-v21"]),
+    ("LGPL-3.0", ["lgpl-free", "gpl-v3"]),
+    ("AGPL-3.0", ["agpl-free", "gpl-v3"]),
+    ("AGPL-3.0", ["agpl-notice"]),
+    ("MPL-2.0", ["mpl-notice", "mpl-copy"]),
+    ("CC-BY-4.0", ["cc-by-4-work"]),
+    ("CC-BY-SA-4.0", ["cc-by-sa-4-work"]),
+    ("CC-BY-NC-4.0", ["cc-by-nc-4-work"]),
+    ("CC-BY-ND-4.0", ["cc-by-nd-4-work"]),
+    ("CC-BY-NC-SA-4.0", ["cc-by-nc-sa-4-work"]),
     ("GPL-3.0", ["gpl-free", "gpl-v3"]),
     ("GPL-2.0", ["gpl-free", "gpl-v2"]),
     ("GPL-3.0", ["gpl3-notice"]),
@@ -84,9 +129,8 @@ def recogniser() -> ahocorasick.Automaton:
     return found
 
 
-#: No known sentence lacks all of these parts of words, so a text without them needs no scan. Each lies within a single word, which
-#: normalising leaves whole.
-MARKS = re.compile(r"license|permission|warranty|redistribut|endorse|cc0|reserved", re.I)
+#: The longest word of each known sentence, which normalising leaves whole: a sentence without any of them holds none.
+MARKS = re.compile("|".join(sorted({max(s.split(), key=len) for s in SENTENCES.values()})), re.I)
 
 
 def sentence_ids(text: str, known: ahocorasick.Automaton) -> list[str]:

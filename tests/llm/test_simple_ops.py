@@ -140,7 +140,24 @@ def test_licenses(spark, documents):
     assert licenses.scan(documents([])).count() == 0
 
 
-WORDINGS = {
+HEADERS = [
+    ("Apache-2.0", 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an "AS IS" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND.'),
+    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy of the MPL was not distributed with this\nfile, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("ISC", 'Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES.'),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable.\n1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0.\n(See accompanying file LICENSE_1_0.txt)"),
+    ("EPL-2.0", "This program and the accompanying materials are made\navailable under the terms of the Eclipse Public License 2.0\nwhich is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n1. Redistributions of source code must retain the above copyright notice.\n2. Redistributions in binary form must reproduce the above copyright notice.\n3. Neither the name of the holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+]
+
+
+WORDINGS = dict(HEADERS) | {
     "Apache-2.0": 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an "AS IS" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.',
     "MIT": 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED "AS\nIS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED.',
     "BSD-3-Clause": "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\nlist of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice.\n\n3. Neither the name of the copyright holder nor the names of its contributors\nmay be used to endorse or promote products derived from this software without\nspecific prior written permission.",
@@ -153,6 +170,11 @@ NOTICES = {
     "Apache-2.0": ["Licensed under the Apache License, Version 2.0."], "MIT": ["Released under the MIT License.", "Licensed under the MIT license."], "GPL-3.0": ["Licensed under the GNU General Public License, version 3."],
     "GPL-2.0": ["Licensed under the GNU General Public License, version 2."], "LGPL": ["Licensed under the GNU Lesser General Public License."], "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0."],
     "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0."], "CC-BY-4.0": ["Licensed under CC BY 4.0."], "CC0-1.0": ["CC0 1.0 Universal."], "All-Rights-Reserved": ["All rights reserved."],
+    "CC-BY-ND-4.0": ["Licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."], "CC-BY-NC-SA-4.0": ["Licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."],
+    "Artistic-2.0": ["You may use it under the terms of the Artistic License 2.0."], "WTFPL": ["Do What The Fuck You Want To Public License."], "EPL-1.0": ["Made available under the terms of the Eclipse Public License v1.0."],
+    "LGPL-3.0": ["It is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License, either version 3 of the License, or (at your option) any later version."],
+    "AGPL-3.0": ["Licensed under the GNU Affero General Public License."], "ISC": [HEADERS[6][1].split("\n")[0]], "EPL-2.0": ["Made available under the terms of the Eclipse Public License v. 2.0."],
+    "BSL-1.0": ["Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license."],
 }
 
 
@@ -257,3 +279,35 @@ def test_exact_dedup_of_rows_without_id(spark, documents):
     rows = [(None, "a  b")] * 70 + [(None, "c")] * 3 + [(5, "a b"), (4, "a\tb"), (4, "a b"), (9, None)]
     got = sorted((r.doc_id or 0, r.keep_id or 0, r.group_size, r.kept) for r in exact_dedup.exact_dedup(documents(rows)).collect())
     assert got == sorted([(0, 4, 73, False)] * 70 + [(0, 0, 3, True)] * 3 + [(5, 4, 73, False), (4, 4, 73, True), (4, 4, 73, True), (9, 9, 1, True)])
+
+
+def brute_ids(text):
+    """The known sentences of a text by plain search in every normalised sentence; of overlapping ones the first, then the longest."""
+    out = []
+    for sentence in licenses.SENTENCE_END.split(text):
+        words = licenses.normalise(sentence)
+        places = sorted((m.start(), -len(s), n) for n, s in licenses.SENTENCES.items() for m in re.finditer(f"(?= {s} )", words))
+        reach = -1
+        for at, size, name in places:
+            if at >= reach:
+                out.append(name)
+                reach = at - size + 1
+    return out
+
+
+@pytest.mark.parametrize("mark", ["", "# ", " * ", "// "])
+def test_standard_headers(mark):
+    known = licenses.recogniser()
+    for name, text in HEADERS:
+        wrapped = "\n".join(mark + line for line in ("Copyright (c) 2020 Some Holder\n\n" + text).splitlines())
+        found = licenses.sentence_ids(wrapped, known)
+        assert licenses.match(found) == [name], (name, found)
+        assert found == brute_ids(wrapped)
+
+
+def test_licence_scan_against_brute_force(spark, documents, sf_dir):
+    docs = [(r.doc_id, r.text) for r in table(spark, sf_dir, "documents").collect()]
+    rows = docs + [(10**6, "\n\n".join(t for _, t in HEADERS)), (10**6, None), (None, HEADERS[0][1] * 2), (10**6 + 1, "All rights reserved. " * 20000)]
+    clash = documents(rows).withColumnRenamed("lang", "found").withColumnRenamed("source", "licenses")
+    got = sorted(((r.doc_id or 0, r.sentence_ids) for r in licenses.scan(clash).collect()), key=repr)
+    assert got == sorted(((d or 0, brute_ids(t or "")) for d, t in rows), key=repr)
