@@ -2,12 +2,13 @@
 
 1. Each window is represented by its anchor, the smallest hash among its grams of `gram` symbols. Consecutive windows of
    one anchor form a run. Equal windows have equal anchors at equal offsets, so repeats meet if runs are dealt out by anchor.
-   A run is kept once for each task, with a list of its later copies, so a hot passage costs a task one row.
-2. Of equal runs all but the first go. Anchors with one distinct run are thus done. Of the others, two runs can share a window
-   only if they agree on half of what a window holds beside the anchor, to its left or to its right; a hash of each side shows
-   which do. The runs that agree with another are fetched as text, whatever their number, and handed to a solver (suffix subtrees, or merged Burrows-Wheeler transforms) that returns
-   classes of equal windows. In each class all but the first window go.
-3. Windows that go are joined to their documents.
+   Of runs that are equal byte for byte a batch sends one on, with a list of its copies, so a hot passage costs a batch one row.
+2. Hashes only choose what is looked at: two runs can share a window only if they agree on half of what a window holds beside the
+   anchor, to its left or to its right; a hash of each side shows which do. All runs that agree with another, and those with copies, are fetched
+   as text, whatever their number, and dealt out by anchor.
+3. Texts decide. Of an anchor's runs, equal ones are made one text. An anchor with several texts goes to a solver (suffix
+   subtrees, or merged Burrows-Wheeler transforms), which returns classes of equal windows; of one text every window is a class of its
+   own. In each class all but the first window go, and are joined to their documents.
 
 First means the smallest (id, start). A null id counts as the largest. Rows of one id are told apart by a hash of their text;
 equal rows of one id have equal starts, so neither is earlier than the other and neither removes the other.
@@ -27,7 +28,7 @@ from . import core
 _LOW = np.uint64((1 << 24) - 1)
 #: Window starts taken at once from one long document.
 SEGMENT = 1 << 22
-RUNS = "a long, c long, sides long, n int, d long, h int, s int, more binary"
+RUNS = "a long, sides long, n int, d long, h int, s int, more binary"
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -96,32 +97,63 @@ class Bytes:
         return [data[i:j].tobytes() for i, j in places]
 
 
+def without_copies(group: np.ndarray, bodies: Callable[[np.ndarray], list[bytes]]) -> np.ndarray:
+    """Whether each row is the first of its group (sorted) with its body; `bodies` gives those of the rows asked for."""
+    first = np.append(True, group[1:] != group[:-1]) if len(group) else np.zeros(0, bool)
+    ask = np.flatnonzero(~first | np.append(~first[1:], False))
+    seen: set[bytes] = set()
+    for k, body in zip(ask.tolist(), bodies(ask), strict=True):
+        if first[k]:
+            seen = {body}
+        elif body not in seen:
+            seen.add(body)
+            first[k] = True  # one hash, but another text
+    return first
+
+
 def find_runs(texts: DataFrame, kind, length: int, gram: int) -> DataFrame:
-    """The runs of all texts (d, h, t); each task joins equal runs, with the places of the later ones in `more`."""
+    """The runs of all texts (d, h, t); each batch joins equal runs, with the places of the later ones in `more`."""
 
     def run(batches):
         for batch in batches:
             data, offsets = core.text_buffers(batch.column("t"))
-            d, h = batch.column("d").to_numpy(), batch.column("h").to_numpy()
+            ids, hashes = batch.column("d").to_numpy(), batch.column("h").to_numpy()
             found = []
             for i, j in core.slices(offsets):
                 doc, s, n, a, c, x = runs_of(*kind.symbols(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]), length, gram)
-                found.append((a.view(np.int64), c.view(np.int64), n, d[i + doc], h[i + doc], s, x.view(np.int64)))
+                found.append((a.view(np.int64), c.view(np.int64), n, i + doc, s, x.view(np.int64)))
             if not found:
                 continue
-            a, c, n, d, h, s, sides = (np.concatenate(x) for x in zip(*found, strict=True))
+            a, c, n, doc, s, sides = (np.concatenate(x) for x in zip(*found, strict=True))
             if not len(a):
                 continue
-            order = np.lexsort((s, d, a, c))
-            a, c, n, d, h, s, sides = (x[order] for x in (a, c, n, d, h, s, sides))
-            first = np.append(True, (c[1:] != c[:-1]) | (a[1:] != a[:-1]))
+            order = np.lexsort((s, ids[doc], a, c))
+            a, c, n, doc, s, sides = (x[order] for x in (a, c, n, doc, s, sides))
+            group = np.cumsum(np.append(True, (c[1:] != c[:-1]) | (a[1:] != a[:-1])))
+
+            def bodies(ask, doc=doc, s=s, n=n, data=data, offsets=offsets):
+                out = [b""] * len(ask)
+                by_doc = np.argsort(doc[ask], kind="stable")
+                for part in np.split(by_doc, np.flatnonzero(np.diff(doc[ask][by_doc])) + 1):
+                    if len(part):
+                        k, rows = doc[ask[part[0]]], ask[part]
+                        places = list(zip(s[rows].tolist(), (s[rows] + n[rows] - 1 + length).tolist(), strict=True))
+                        for at, body in zip(part.tolist(), kind.pieces(data[offsets[k] : offsets[k + 1]], places), strict=True):
+                            out[at] = body
+                return out
+
+            first = without_copies(group, bodies)
+            d, h = ids[doc], hashes[doc]
+            # A copy belongs to the first row of its text; groups of one hash and several texts are not joined at all.
+            odd = np.isin(group, group[first][1:][np.diff(group[first]) == 0])
+            first |= odd
             rest = np.ascontiguousarray(np.stack([d, h, s], 1)[~first]).tobytes()
             head = np.flatnonzero(first)
             ends = (np.cumsum(~first)[np.append(head[1:], len(a)) - 1]) * 24
             more = pa.BinaryArray.from_buffers(pa.large_binary(), len(head), [None, pa.py_buffer(np.append(0, ends).astype(np.int64)), pa.py_buffer(rest)]).cast(pa.binary())
-            back = np.argsort(order[head], kind="stable")  # in reading order, which compresses better
-            columns = [pa.array(x[head][back]) for x in (a, c, sides)] + [pa.array(n[head][back], pa.int32()), pa.array(d[head][back]), pa.array(h[head][back], pa.int32()), pa.array(s[head][back], pa.int32()), more.take(pa.array(back))]
-            whole = pa.RecordBatch.from_arrays(columns, names=["a", "c", "sides", "n", "d", "h", "s", "more"])
+            back = np.lexsort((s[head], doc[head]))  # in reading order, which compresses better
+            columns = [pa.array(x[head][back]) for x in (a, sides)] + [pa.array(n[head][back], pa.int32()), pa.array(d[head][back]), pa.array(h[head][back], pa.int32()), pa.array(s[head][back], pa.int32()), more.take(pa.array(back))]
+            whole = pa.RecordBatch.from_arrays(columns, names=["a", "sides", "n", "d", "h", "s", "more"])
             for i in range(0, len(head), 1 << 16):
                 yield whole.slice(i, 1 << 16)
 
@@ -161,61 +193,84 @@ def agrees(group: np.ndarray, value: np.ndarray) -> np.ndarray:
 
 
 def compare_runs(runs: DataFrame) -> DataFrame:
-    """(d, h, s, n, a, open): later copies of equal runs, to be removed; and, open, the first of each run of an anchor with several."""
+    """The runs whose text is asked for: those that agree on a side with another run of their anchor, and those with copies."""
 
     def run(batches):
         for table in whole_groups(batches, "a", 1 << 17):
-            a, c, n, d, h, s = (table.column(x).to_numpy() for x in ("a", "c", "n", "d", "h", "s"))
-            order = np.lexsort((s, d, c, a))
-            more = table.column("more").combine_chunks().take(pa.array(order))
-            a, c, n, d, h, s = (x[order].astype(np.int64) for x in (a, c, n, d, h, s))
-            first = np.append(True, (a[1:] != a[:-1]) | (c[1:] != c[:-1]))
-            head = np.flatnonzero(first)
-            group = np.cumsum(first) - 1
-            anchor = np.append(True, a[head][1:] != a[head][:-1])
-            several = np.diff(np.append(np.flatnonzero(anchor), len(head)))[np.cumsum(anchor) - 1] > 1
-            sides = table.column("sides").to_numpy()[order][head]
-            several &= agrees(np.cumsum(anchor), sides >> 32) | agrees(np.cumsum(anchor), sides & 0xFFFFFFFF)
-            lists = pa.Array.from_buffers(pa.binary(), len(more), more.buffers(), offset=more.offset)
-            flat = np.frombuffer(b"".join(x.as_py() for x in lists if x.is_valid and len(x.as_buffer())), np.int64).reshape(-1, 3)
-            size = np.diff(np.frombuffer(lists.buffers()[1], np.int32)[lists.offset : lists.offset + len(lists) + 1]) // 24
-            of = np.repeat(group, size)
-            d2, h2, s2, g2 = np.concatenate([d, flat[:, 0]]), np.concatenate([h, flat[:, 1]]), np.concatenate([s, flat[:, 2]]), np.concatenate([group, of])
-            later = (d2 > d[head][g2]) | (d2 == d[head][g2]) & (s2 > s[head][g2])
-            ask = head[several]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.concatenate([d2[later], d[ask]])),
-                    pa.array(np.concatenate([h2[later], h[ask]]), pa.int32()),
-                    pa.array(np.concatenate([s2[later], s[ask]]), pa.int32()),
-                    pa.array(np.concatenate([n[head][g2[later]], n[ask]]), pa.int32()),
-                    pa.array(np.concatenate([np.zeros(later.sum(), np.int64), a[ask]])),
-                    pa.array(np.arange(later.sum() + len(ask)) >= later.sum()),
-                ],
-                names=["d", "h", "s", "n", "a", "open"],
-            )
-
-    return runs.repartition("a").sortWithinPartitions("a").mapInArrow(run, "d long, h int, s int, n int, a long, open boolean")
+            a, sides = (table.column(x).to_numpy() for x in ("a", "sides"))
+            copies = np.array([len(x) > 0 for x in table.column("more").to_pylist()])
+            asked = copies | agrees(a, sides >> 32) | agrees(a, sides & 0xFFFFFFFF)
+            yield from table.filter(pa.array(asked)).drop_columns(["sides"]).combine_chunks().to_batches()
+
+    return runs.repartition("a").sortWithinPartitions("a").mapInArrow(run, RUNS.replace("sides long, ", ""))
 
 
 def fetch(texts: DataFrame, asked: DataFrame, kind, length: int) -> DataFrame:
-    """The text of each open run: (a, d, h, s, n, body)."""
-    wanted = asked.groupBy("d", "h").agg(F.collect_list(F.struct("s", "n", "a")).alias("ask"))
+    """The text of each run asked for: (a, d, h, s, n, more, body)."""
+    wanted = asked.groupBy("d", "h").agg(F.collect_list(F.struct("s", "n", "a", "more")).alias("ask"))
+    names, types = ["a", "d", "h", "s", "n", "more", "body"], [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary()]
 
     def run(batches):
         for batch in batches:
             rows = batch.filter(batch.column("ask").is_valid())
             data, offsets = core.text_buffers(rows.column("t"))
-            out = []
-            for k, (d, h, ask) in enumerate(zip(rows.column("d").to_pylist(), rows.column("h").to_pylist(), rows.column("ask").to_pylist(), strict=True)):
+            out, size = [], 0
+            for k, (d, h) in enumerate(zip(rows.column("d").to_pylist(), rows.column("h").to_pylist(), strict=True)):
+                ask = rows.column("ask")[k].as_py()
                 bodies = kind.pieces(data[offsets[k] : offsets[k + 1]], [(x["s"], x["s"] + x["n"] - 1 + length) for x in ask])
-                out += [(x["a"], d, h, x["s"], x["n"], body) for x, body in zip(ask, bodies, strict=True)]
-            for i in range(0, len(out), 4096):
-                types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out[i : i + 4096], strict=True), types, strict=True)], names=["a", "d", "h", "s", "n", "body"])
+                out += [(x["a"], d, h, x["s"], x["n"], x["more"], body) for x, body in zip(ask, bodies, strict=True)]
+                size += sum(map(len, bodies))
+                if size >= 1 << 22:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
+                    out, size = [], 0
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
 
     # All columns of the texts, so that this exchange of the texts also serves the join in removals().
-    return texts.join(wanted, ["d", "h"], "left").mapInArrow(run, "a long, d long, h int, s int, n int, body binary")
+    return texts.join(wanted, ["d", "h"], "left").mapInArrow(run, "a long, d long, h int, s int, n int, more binary, body binary")
+
+
+def later_spans(table: pa.Table, solver: Callable[[list[bytes], list[int], int], np.ndarray], length: int):
+    """(d, h, s, n) of the windows that also start earlier, among all runs of some anchors (a, d, h, s, n, more, body)."""
+    a, d, h, s, n = (table.column(x).to_numpy().astype(np.int64) for x in ("a", "d", "h", "s", "n"))
+    known: dict[tuple[int, bytes], int] = {}
+    text = np.array([known.setdefault(x, len(known)) for x in zip(a.tolist(), table.column("body").to_pylist(), strict=True)])
+    bodies, anchor = [b for _, b in known], np.array([x for x, _ in known])
+    counts = np.zeros(len(bodies), np.int64)
+    counts[text] = n
+    # All copies of each text.
+    copies = [np.frombuffer(x or b"", np.int64).reshape(-1, 3) for x in table.column("more").to_pylist()]
+    text = np.concatenate([text, np.repeat(text, [len(x) for x in copies])])
+    d, h, s = np.concatenate([np.stack([d, h, s], 1), *copies]).T
+    order = np.lexsort((s, d, text))
+    text, d, h, s = text[order], d[order], h[order], s[order]
+    _, of, size = np.unique(anchor, return_inverse=True, return_counts=True)
+    open_texts = size[of] > 1
+    # Anchors with one text: its copies but the first go, with all their windows.
+    head = np.flatnonzero(np.append(True, text[1:] != text[:-1]))[text]
+    goes = np.flatnonzero(~open_texts[text] & ((d > d[head]) | (d == d[head]) & (s > s[head])))
+    out = [(d[goes], h[goes], s[goes], counts[text[goes]])]
+    # Anchors with several texts: the solver tells which windows are equal.
+    ask = np.flatnonzero(open_texts)
+    if len(ask):
+        classes = solver([bodies[k] for k in ask.tolist()], counts[ask].tolist(), length)
+        begin = np.zeros(len(bodies), np.int64)
+        begin[ask] = np.cumsum(counts[ask]) - counts[ask]
+        rows = np.flatnonzero(open_texts[text])
+        text, d, h, s, n = text[rows], d[rows], h[rows], s[rows], counts[text[rows]]
+        run = np.repeat(np.arange(len(rows)), n)
+        step = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
+        k, dd, ss = classes[begin[text[run]] + step], d[run], s[run] + step
+        order = np.lexsort((ss, dd, k))
+        new = np.append(True, k[order][1:] != k[order][:-1])
+        first = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+        later = np.zeros(len(run), bool)
+        later[order] = (dd[order] > dd[first]) | (dd[order] == dd[first]) & (ss[order] > ss[first])
+        goes = np.flatnonzero(later)
+        opens = np.flatnonzero(np.append(True, (run[goes][1:] != run[goes][:-1]) | (np.diff(goes) != 1))) if len(goes) else goes
+        at = goes[opens]
+        out.append((dd[at], h[run[at]], ss[at], np.diff(np.append(opens, len(goes)))))
+    return [np.concatenate(x) for x in zip(*out, strict=True)]
 
 
 def solve(bodies: DataFrame, solver: Callable[[list[bytes], list[int], int], np.ndarray], length: int) -> DataFrame:
@@ -223,23 +278,9 @@ def solve(bodies: DataFrame, solver: Callable[[list[bytes], list[int], int], np.
 
     def run(batches):
         for table in whole_groups(batches, "a", 1 << 20, 1 << 20):
-            a, d, h, s, n = (table.column(x).to_numpy().astype(np.int64) for x in ("a", "d", "h", "s", "n"))
-            classes = solver(table.column("body").to_pylist(), n.tolist(), length)
-            of = np.repeat(np.arange(len(n)), n)
-            at = np.arange(len(of)) - np.repeat(np.cumsum(n) - n, n) + s[of]
-            order = np.lexsort((at, d[of], classes))
-            k, dd, ss = classes[order], d[of][order], at[order]
-            head = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-            group = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(k))))
-            later = np.zeros(len(of), bool)
-            later[order] = (dd > dd[head][group]) | (dd == dd[head][group]) & (ss > ss[head][group])
-            goes = np.flatnonzero(later)
-            if len(goes):
-                opens = np.append(True, (of[goes][1:] != of[goes][:-1]) | (np.diff(goes) != 1))
-                b = np.flatnonzero(opens)
-                size = np.diff(np.append(b, len(goes)))
-                r = of[goes[b]]
-                yield pa.RecordBatch.from_arrays([pa.array(d[r]), pa.array(h[r], pa.int32()), pa.array(at[goes[b]], pa.int32()), pa.array(size, pa.int32())], names=["d", "h", "s", "n"])
+            d, h, s, n = later_spans(table, solver, length)
+            if len(d):
+                yield pa.RecordBatch.from_arrays([pa.array(d), pa.array(h, pa.int32()), pa.array(s, pa.int32()), pa.array(n, pa.int32())], names=["d", "h", "s", "n"])
 
     return bodies.repartition("a").sortWithinPartitions("a").mapInArrow(run, "d long, h int, s int, n int")
 
@@ -249,8 +290,8 @@ def removals(docs: DataFrame, kind, solver, length: int, gram: int, id_col: str
     text = F.coalesce(F.col(text_col), F.lit(""))
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(id_col), F.lit((1 << 63) - 1)).cast("long").alias("d"), F.hash(text).alias("h"), text.alias("t"))
     found = core.written(compare_runs(find_runs(texts, kind, length, gram)))
-    solved = solve(fetch(texts, found.where("open"), kind, length), solver, length)
-    cuts = found.where("NOT open").select("d", "h", "s", "n").unionByName(solved).groupBy("d", "h").agg(F.collect_list(F.struct("s", "n")).alias("cut"))
+    solved = solve(fetch(texts, found, kind, length), solver, length)
+    cuts = solved.groupBy("d", "h").agg(F.collect_list(F.struct("s", "n")).alias("cut"))
     return texts.join(cuts, ["d", "h"], "left")
 
 

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quillstream.llm import repeats, substring_dedup, suffix_dedup
@@ -119,3 +120,24 @@ def test_long_documents_are_cut_into_segments(monkeypatch):
     symbols = np.random.default_rng(7).integers(0, 1 << 60, 1000).astype(np.uint64)
     doc, s, n, *_ = repeats.runs_of(symbols, np.array([0, 1000]), 20, 5)
     assert sorted(i for a, k in zip(s, n) for i in range(a, a + k)) == list(range(981))
+
+
+def test_no_window_goes_by_a_hash_alone():
+    """Runs of one anchor, one hash and different texts: nothing is joined and nothing goes."""
+    texts = [b"x%02d " % k * 25 for k in range(3)]
+    group, body = np.array([0, 0, 0, 1, 1, 2]), [texts[0], texts[1], texts[0], texts[2], texts[2], texts[0]]
+    assert repeats.without_copies(group, lambda ask: [body[k] for k in ask]).tolist() == [True, True, False, True, False, True]
+    void, copy = b"", np.array([[9, 0, 4], [1, 0, 0]], np.int64).tobytes()
+
+    def spans(rows):
+        names = ["a", "d", "h", "s", "n", "more", "body"]
+        table = pa.table({k: list(v) for k, v in zip(names, zip(*rows, strict=True), strict=True)})
+        for solver, length in ((substring_dedup.solver, 20), (suffix_dedup.solver, 100)):
+            yield sorted(zip(*(x.tolist() for x in repeats.later_spans(table, solver, length)), strict=True))
+
+    words = [" ".join(f"w{i}{k}" for i in range(40)).encode() for k in "abc"]
+    for found in spans([(7, 1, 0, 0, 5, void, words[0]), (7, 2, 0, 0, 5, void, words[1]), (7, 3, 0, 3, 5, void, words[2])]):
+        assert found == []
+    # Equal texts of one anchor and listed copies: all but the first place go, with all windows.
+    for found in spans([(7, 5, 0, 0, 5, copy, words[0]), (7, 2, 0, 8, 5, void, words[0])]):
+        assert found == [(2, 0, 8, 5), (5, 0, 0, 5), (9, 0, 4, 5)]
