@@ -1,4 +1,9 @@
-"""A corpus pipeline: language ID, exact dedup, n-gram Jaccard join, benchmark decontamination, packing."""
+"""A corpus pipeline: language ID, exact dedup, n-gram Jaccard join, benchmark decontamination, packing.
+
+Nulls and empty texts go in the language stage, as they hold no letter. A null doc_id counts as the largest. Of repeated rows with one
+doc_id and one text the dedup stages keep all or none. Very long texts are handled whole. An empty table passes every stage
+and gives no pieces. Other columns are kept up to packing, whatever their names.
+"""
 
 from __future__ import annotations
 
@@ -41,10 +46,9 @@ STAGES = [("language ID", languages), ("exact dedup", exact_copies), ("n-gram Ja
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies the stages to documents; each result is written to the shared folder and read again."""
+    """Applies the stages to documents; each result is written to the shared folder and read again, and the one before is removed."""
     docs = core.table(spark, sf_dir, "documents")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k + 1 < len(STAGES):
-            docs = core.written(docs)
-    return docs
+    for _, stage in STAGES[:-1]:
+        last, docs = docs, core.written(stage(spark, docs, sf_dir))
+        core.dropped(last)
+    return STAGES[-1][1](spark, docs, sf_dir)
