@@ -209,3 +209,18 @@ def test_clashing_columns_repeated_rows_and_a_very_long_text(spark, documents):
     clash = documents(rows).withColumnRenamed("lang", "t").withColumnRenamed("source", "distance")
     got = sorted((r.doc_id, r.distance, r.start_word) for r in decontamination.contaminated(clash, items_of(spark, [(7, item), (7, item)])).collect())
     assert got == [(1, 0, 200000)] * 2 + [(2, 0, 0)] * 4
+
+
+def test_pipeline_stages_on_odd_tables(spark, documents, sf_dir):
+    """Each stage on an empty table, and on nulls, repeated rows, ties and an extra column."""
+    copy = " ".join(f"w{i}" for i in range(40))
+    rows = documents([(1, copy), (2, copy + "  "), (3, copy), (3, copy), (4, None), (None, "no id here"), (5, ""), (6, copy + " end"), (7, "123 ²")])
+    odd = rows.withColumnRenamed("n_chars", "e")
+    kept = {"language ID": [None, 1, 2, 3, 3, 6], "exact dedup": [None, 1, 2, 6], "n-gram Jaccard join": [None, 1], "benchmark decontamination": [None, 1], "packing": [None, 1]}
+    for name, stage in corpus_pipeline.STAGES:
+        empty = stage(spark, documents([]), sf_dir)
+        assert empty.count() == 0
+        odd = stage(spark, odd, sf_dir)
+        assert name == "packing" or odd.columns == ["doc_id", "text", "lang", "source", "e"]
+        rows = odd.select("doc_id").distinct() if name == "packing" else odd  # a document may be cut into several pieces
+        assert sorted((r.doc_id for r in rows.select("doc_id").collect()), key=lambda d: d or 0) == kept[name], name
