@@ -318,11 +318,16 @@ def least_count(shingles: DataFrame) -> int:
     return least
 
 
+def growing(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the data: never broadcast, so the plan is the same at every size."""
+    return df.hint("merge")
+
+
 def unresolved(members: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of the buckets that still hold several labels, with their labels."""
-    labelled = members.drop("label").join(labels.withColumnRenamed("v", "e"), "e", "left").withColumn("label", F.coalesce("label", "e"))
+    labelled = members.drop("label").join(growing(labels.withColumnRenamed("v", "e")), "e", "left").withColumn("label", F.coalesce("label", "e"))
     several = labelled.groupBy("tok").agg(F.min("label").alias("_a"), F.max("label").alias("_b")).where("_a < _b").select("tok")
-    return labelled.join(several, "tok", "left_semi")
+    return labelled.join(growing(several), "tok", "left_semi")
 
 
 def among(rows: DataFrame, key: str, wanted: DataFrame, bits: int = 1 << 24) -> DataFrame:
@@ -351,7 +356,7 @@ def fragments(texts: DataFrame, wanted: DataFrame, order, words: int, renamed: f
                 yield pa.RecordBatch.from_arrays([pa.array(e, pa.int64()), pa.array(f, pa.int32()), pa.array(part, pa.list_(pa.int64())), pa.array(m, pa.bool_())], names=["e", "f", "part", "many"])
 
     by_doc = wanted.groupBy("d").agg(F.collect_set("e").alias("want"), F.collect_set(F.when(F.col("many"), F.col("e"))).alias("many"))
-    return among(texts.select("d", "t"), "d", wanted).join(by_doc, "d").select("t", "want", "many").mapInArrow(run, "e long, f int, part array<long>, many boolean")
+    return among(texts.select("d", "t"), "d", wanted).join(growing(by_doc), "d").select("t", "want", "many").mapInArrow(run, "e long, f int, part array<long>, many boolean")
 
 
 def distinct_parts(found: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -361,8 +366,8 @@ def distinct_parts(found: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def verified(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
     """The pairs that link, by the sum of their overlaps in the fragments."""
-    left = pairs.join(parts.select(F.col("e").alias("x"), "f", F.col("part").alias("part_x")), "x")
-    both = left.join(parts.select(F.col("e").alias("y"), "f", F.col("part").alias("part_y")), ["y", "f"])
+    left = pairs.join(growing(parts.select(F.col("e").alias("x"), "f", F.col("part").alias("part_x"))), "x")
+    both = left.join(growing(parts.select(F.col("e").alias("y"), "f", F.col("part").alias("part_y"))), ["y", "f"])
     counted = both.select("x", "y", "nx", "ny", F.size(F.array_intersect("part_x", "part_y")).alias("k"))
     shared = counted.groupBy("x", "y").agg(F.first("nx").alias("nx"), F.first("ny").alias("ny"), F.sum("k").alias("k"))
     return shared.where(F.lit(100) * F.col("k") >= F.lit(percent) * (F.col("nx") + F.col("ny") - F.col("k"))).select("x", "y")
@@ -394,7 +399,7 @@ def join_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
         return pairs.select(F.col("x").alias("e")).union(pairs.select("y")).distinct()
 
     def wanted(found, past):
-        asked = core.written(found.join(sets, "e").select("d", "e", "many"))
+        asked = core.written(found.join(growing(sets), "e").select("d", "e", "many"))
         once, several = distinct_parts(core.written(fragments(texts, asked, order, words, renamed)))
         past += [asked, once, several]
         return once.where("NOT many").select("e", "f", "part").unionByName(several)
@@ -402,7 +407,7 @@ def join_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
     tried = parts = links = labels = None
     past = [shingles, buckets]
     for mode in ("centres", "nearest", "all"):
-        pairs = candidates(members.join(sketches, "e"), percent, mode)
+        pairs = candidates(members.join(growing(sketches), "e"), percent, mode)
         pairs = core.written(pairs if tried is None else pairs.join(tried, ["x", "y"], "left_anti"))
         past.append(pairs)
         if not pairs.limit(1).count():
