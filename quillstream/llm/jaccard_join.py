@@ -35,8 +35,8 @@ from . import components, core
 from .repeats import whole_groups
 
 FREQUENT, FRAGMENTS, SALTS = 1 << 20, 4, 32
-#: Centres of a bucket in the first round.
-CENTRES = 2
+#: Centres of a bucket in the first round; a bucket of one set more is thereby done.
+CENTRES = 3
 #: Sets of one shingle that are compared in one task; those of a more frequent one are split into blocks of about this size.
 BLOCK = 1 << 13
 #: 64-bit words of parities in each fragment's bitmap.
@@ -172,6 +172,7 @@ def required(n: np.ndarray | int, percent: int):
 
 
 BUCKET = "tok long, e long, n int, pos int, part int, blocks int, sketch binary"
+MEMBERS = BUCKET + ", size int"
 
 
 def prefixes(texts: DataFrame, order, words: int, percent: int, renamed: frozenset) -> DataFrame:
@@ -224,9 +225,11 @@ def bucket_members(rows: DataFrame) -> DataFrame:
             head = np.append(True, (tok[1:] != tok[:-1]) | (part[1:] != part[:-1]) | ((pos[1:] < 0) != (pos[:-1] < 0)))
             new = head | np.append(True, e[1:] != e[:-1])
             size = np.bincount(np.cumsum(head) - 1, new)[np.cumsum(head) - 1]
-            yield from table.take(pa.array(order[new & ((size > 1) | (blocks > 1) | (pos < 0))])).combine_chunks().to_batches()
+            keep = new & ((size > 1) | (blocks > 1) | (pos < 0))
+            kept = table.take(pa.array(order[keep])).append_column("size", pa.array(size[keep].astype(np.int32)))
+            yield from kept.combine_chunks().to_batches()
 
-    return rows.repartition("tok", "part").sortWithinPartitions("tok").mapInArrow(run, BUCKET)
+    return rows.repartition("tok", "part").sortWithinPartitions("tok").mapInArrow(run, MEMBERS)
 
 
 def expanded(row: np.ndarray, low: np.ndarray, high: np.ndarray, most: int = 1 << 18):
@@ -250,23 +253,24 @@ def distinct_pairs(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def candidates(members: DataFrame, percent: int, mode: str) -> DataFrame:
     """Distinct pairs (x, y, nx, ny), x < y, of sets with different labels that share a bucket and whose bounds allow a link.
 
-    mode `centres`: those with a bucket's centres, which are the least of a few scrambled orders, alike in every bucket of these
-    sets. `nearest`: of each two labels in a bucket the pair with the largest bound. `all`: all of them.
+    mode `centres`: those with a bucket's centres, the first in a scrambled order that is alike in every bucket; these pairs are
+    few, so their sketches are looked at afterwards (`near_enough`) rather than sent to every bucket. `nearest`: of each two labels in a bucket the pair with the largest bound. `all`: all of them.
     """
 
     def run(batches):
         for table in whole_groups(batches, "tok", 1 << 17):
             tok, e, n, pos, part, blocks, label = (table.column(x).to_numpy().astype(np.int64) for x in ("tok", "e", "n", "pos", "part", "blocks", "label"))
-            sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.int64).reshape(len(tok), -1)
             order = np.lexsort((e, label, part, tok))
-            tok, e, n, pos, part, blocks, label, sketches = (x[order] for x in (tok, e, n, pos, part, blocks, label, sketches))
+            tok, e, n, pos, part, blocks, label = (x[order] for x in (tok, e, n, pos, part, blocks, label))
+            if mode != "centres":
+                sketches = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.int64).reshape(len(tok), -1)[order]
             new = np.append(True, (tok[1:] != tok[:-1]) | (part[1:] != part[:-1]))
             group, head = np.cumsum(new) - 1, np.flatnonzero(new)
             end = np.append(head[1:], len(tok))
             row = np.arange(len(tok))
             if mode == "centres":
-                least = [np.lexsort((core.mix(e.view(np.uint64) + np.uint64(977 * (k + 1))), group))[head] for k in range(CENTRES)]
-                row = np.unique(np.concatenate(least))
+                scrambled = np.lexsort((core.mix(e.view(np.uint64)), group))
+                row = np.sort(scrambled[row - head[group] < CENTRES])
                 low = head[group[row]]
             else:
                 run_ends = np.flatnonzero(np.append(new[1:] | (label[1:] != label[:-1]), True)) + 1
@@ -279,9 +283,10 @@ def candidates(members: DataFrame, percent: int, mode: str) -> DataFrame:
                 if mode != "centres":
                     ok &= within[i] | (own[i] != own[j])
                 i, j = i[ok], j[ok]
-                bound = may_overlap(sketches[i], sketches[j])
-                ok = 100 * bound >= percent * (n[i] + n[j] - bound)
-                i, j, bound = i[ok], j[ok], bound[ok]
+                if mode != "centres":
+                    bound = may_overlap(sketches[i], sketches[j])
+                    ok = 100 * bound >= percent * (n[i] + n[j] - bound)
+                    i, j, bound = i[ok], j[ok], bound[ok]
                 if mode == "nearest" and len(i):
                     a, b = np.minimum(label[i], label[j]), np.maximum(label[i], label[j])
                     order = np.lexsort((-bound / (n[i] + n[j]), b, a, group[i]))
@@ -306,6 +311,20 @@ def candidates(members: DataFrame, percent: int, mode: str) -> DataFrame:
     return found.groupBy("x", "y").agg(F.first("nx").alias("nx"), F.first("ny").alias("ny"))
 
 
+def near_enough(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose summed bounds allow a link."""
+
+    def run(batches):
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int64).reshape(batch.num_rows, -1) for c in ("sx", "sy"))
+            n, bound = batch.column("nx").to_numpy() + batch.column("ny").to_numpy(), may_overlap(x, y)
+            yield batch.select(["x", "y", "nx", "ny"]).filter(pa.array(100 * bound >= percent * (n - bound)))
+
+    left = pairs.join(growing(sketches.select(F.col("e").alias("x"), F.col("sketch").alias("sx"))), "x")
+    both = left.join(growing(sketches.select(F.col("e").alias("y"), F.col("sketch").alias("sy"))), "y")
+    return both.select("x", "y", "nx", "ny", "sx", "sy").mapInArrow(run, "x long, y long, nx long, ny long")
+
+
 def least_count(shingles: DataFrame) -> int:
     """The least count for which at most FREQUENT shingles (e, n) are as frequent; from a histogram of at most 4,096 steps."""
     steps = shingles.groupBy(F.least("n", F.lit(4096)).alias("n")).agg(F.count("*").alias("k")).collect()
@@ -407,7 +426,12 @@ def join_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
     tried = parts = links = labels = None
     past = [shingles, buckets]
     for mode in ("centres", "nearest", "all"):
-        pairs = candidates(members.join(growing(sketches), "e"), percent, mode)
+        if mode == "centres":
+            pairs = near_enough(candidates(members, percent, mode), sketches, percent)
+            # Buckets without a pair that has no centre are done.
+            members = members.where(f"size > {CENTRES + 1} OR blocks > 1")
+        else:
+            pairs = candidates(members.join(growing(sketches), "e"), percent, mode)
         pairs = core.written(pairs if tried is None else pairs.join(tried, ["x", "y"], "left_anti"))
         past.append(pairs)
         if not pairs.limit(1).count():
