@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -115,14 +116,14 @@ def shared_folder(spark: SparkSession) -> str:
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, codec: str = "zstd") -> DataFrame:
-    """The rows as a table in the shared folder, which outlives executors and cuts the lineage."""
+def written(df: DataFrame, codec: str = "zstd", by: Sequence[str] = ()) -> DataFrame:
+    """The rows as a table in the shared folder, partitioned `by` columns, which outlives executors and cuts the lineage."""
     spark, schema = df.sparkSession, df.schema
     path = f"{shared_folder(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
     before = spark.conf.get(CLEANUP)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.option("compression", codec).parquet(path)
+        df.write.option("compression", codec).partitionBy(*by).parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
     out = spark.read.schema(schema).parquet(path)

@@ -13,7 +13,7 @@ their sets' Jaccard similarity is at least `percent` / 100. Equal sets are one c
 3. Candidates: the first n - ceil(0.8 n) + 1 shingles of a set in that order (two linked sets share one of them), dealt out by
    shingle; a frequent shingle's sets are split into blocks, compared pair of blocks by pair of blocks. A pair leaves its bucket only if
    its sizes, the places of the shared shingle and the summed bounds of the fragments allow a link.
-4. Verification: the overlap of a pair is counted in each fragment separately and summed per pair.
+4. Verification: the overlap of a pair is counted in each fragment separately, one after the other, and summed per pair.
 5. The links' components become labels, in three rounds: each bucket's sets against a few centres; of each two labels that
    still meet in a bucket the nearest pair; then every remaining candidate pair with different labels. So no link between
    different components is lost, while pairs within a component need not be tried.
@@ -26,6 +26,8 @@ columns are ignored, whatever their names.
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -384,12 +386,21 @@ def distinct_parts(found: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def verified(pairs: DataFrame, parts: DataFrame, percent: int) -> DataFrame:
-    """The pairs that link, by the sum of their overlaps in the fragments."""
-    left = pairs.join(growing(parts.select(F.col("e").alias("x"), "f", F.col("part").alias("part_x"))), "x")
-    both = left.join(growing(parts.select(F.col("e").alias("y"), "f", F.col("part").alias("part_y"))), ["y", "f"])
-    counted = both.select("x", "y", "nx", "ny", F.size(F.array_intersect("part_x", "part_y")).alias("k"))
-    shared = counted.groupBy("x", "y").agg(F.first("nx").alias("nx"), F.first("ny").alias("ny"), F.sum("k").alias("k"))
-    return shared.where(F.lit(100) * F.col("k") >= F.lit(percent) * (F.col("nx") + F.col("ny") - F.col("k"))).select("x", "y")
+    """The pairs that link, by the sum of their overlaps in the fragments.
+
+    One fragment is exchanged at a time, and of it only the parts of sets that may be in a pair, so the disk holds one fragment's exchange at once.
+    """
+    counts = []
+    for f in range(FRAGMENTS):
+        of = parts.where(F.col("f") == f)
+        x, y = (among(of, "e", pairs.select(F.col(c).alias("e"))).select(F.col("e").alias(c), F.col("part").alias(f"part_{c}")) for c in "xy")
+        both = pairs.join(growing(x), "x").join(growing(y), "y")
+        counts.append(core.written(both.select("x", "y", "nx", "ny", F.size(F.array_intersect("part_x", "part_y")).alias("k")).where("k > 0")))
+    every = functools.reduce(DataFrame.unionByName, counts)
+    shared = every.groupBy("x", "y").agg(F.first("nx").alias("nx"), F.first("ny").alias("ny"), F.sum("k").alias("k"))
+    found = core.written(shared.where(F.lit(100) * F.col("k") >= F.lit(percent) * (F.col("nx") + F.col("ny") - F.col("k"))).select("x", "y"))
+    core.dropped(*counts)
+    return found
 
 
 def join_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
@@ -419,7 +430,7 @@ def join_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
 
     def wanted(found, past):
         asked = core.written(found.join(growing(sets), "e").select("d", "e", "many"))
-        once, several = distinct_parts(core.written(fragments(texts, asked, order, words, renamed)))
+        once, several = distinct_parts(core.written(fragments(texts, asked, order, words, renamed), by=["f"]))
         past += [asked, once, several]
         return once.where("NOT many").select("e", "f", "part").unionByName(several)
 
@@ -444,7 +455,7 @@ def join_documents(docs: DataFrame, words: int = 5, percent: int = 80, id_col: s
             parts = wanted(lacking, past)
         elif lacking.limit(1).count():
             parts = parts.unionByName(wanted(lacking, past))
-        found = core.written(verified(pairs, parts, percent))
+        found = verified(pairs, parts, percent)
         links = found if links is None else links.unionByName(found)
         past += [found] if labels is None else [found, labels]
         labels = components.components(links)
