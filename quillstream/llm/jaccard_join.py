@@ -45,6 +45,8 @@ BLOCK = 1 << 13
 PARITY = 2
 #: Slots in which a task remembers the shingles that it has met, and the reports that it holds before it sends them on.
 MET, HELD = 1 << 25, 1 << 20
+#: Shingles that are counted or sent together, bits of the ranges into which a batch's shingles are cut for that, and pairs whose sketches are compared together.
+TOGETHER, RANGE_BITS, SKETCHED = 1 << 18, 6, 1 << 15
 NO_ID = (1 << 63) - 1
 
 
@@ -87,6 +89,22 @@ def counted(x: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.
     return x[head], np.diff(np.append(head, len(x))) if n is None else np.add.reduceat(n[order], head) if len(x) else n
 
 
+def met_again(kept: list[np.ndarray], met: np.ndarray):
+    """The shingles of these sets that were met before or lie in several of them, and in how many; marks all as met.
+
+    Range by range of the hash, whose ends are also ends of slots, so beside the sets a task holds the counting of one range only.
+    """
+    bits = min(RANGE_BITS, (sum(map(len, kept)) // TOGETHER).bit_length())
+    edges = ((np.arange(1, 1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) ^ np.uint64(1 << 63)).view(np.int64) if bits else np.zeros(0, np.int64)
+    cuts = [np.concatenate([[0], np.searchsorted(found, edges), [len(found)]]) for found in kept]
+    for r in range(1 << bits):
+        x, n = counted(np.concatenate([found[c[r] : c[r + 1]] for found, c in zip(kept, cuts, strict=True)]))
+        slot = (x.view(np.uint64) >> np.uint64(39)).astype(np.int64) % MET
+        again = met[slot] | (n > 1)
+        met[slot] = True
+        yield x[again], n[again]
+
+
 def census(texts: DataFrame, words: int) -> DataFrame:
     """Rows of two kinds: (id, e, e2, n) for each document, and (e = shingle, n = how often) for those that a task meets again."""
 
@@ -108,12 +126,9 @@ def census(texts: DataFrame, words: int) -> DataFrame:
             e, e2 = np.array(ids, np.int64).reshape(-1, 2).T
             yield pa.RecordBatch.from_arrays([pa.array([True] * len(ids), pa.bool_()), batch.column("id"), pa.array(e), pa.array(e2), pa.array(sizes, pa.int64())], names=["doc", "id", "e", "e2", "n"])
             if kept:
-                x, n = counted(np.concatenate(kept))
-                slot = (x.view(np.uint64) >> np.uint64(39)).astype(np.int64) % MET
-                again = met[slot] | (n > 1)
-                met[slot] = True
-                held.append((x[again], n[again]))
-                size += int(again.sum())
+                found = list(met_again(kept, met))
+                held += found
+                size += sum(len(x) for x, _ in found)
                 if size >= HELD:
                     yield reports(held)
                     held, size = [], 0
@@ -168,6 +183,12 @@ def may_overlap(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.minimum((x[:, bits:] + y[:, bits:] - differ) // 2, np.minimum(x[:, bits:], y[:, bits:])).sum(1)
 
 
+def bounds(sketches: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The bounds of the pairs (i, j), a few at a time: a pair's two sketches are far larger than its bound."""
+    found = [may_overlap(sketches[i[k : k + SKETCHED]], sketches[j[k : k + SKETCHED]]) for k in range(0, len(i), SKETCHED)]
+    return np.concatenate([np.zeros(0, np.int64), *found])
+
+
 def required(n: np.ndarray | int, percent: int):
     """The least overlap of a set of n with any partner."""
     return -(-percent * n // 100)
@@ -286,7 +307,7 @@ def candidates(members: DataFrame, percent: int, mode: str) -> DataFrame:
                     ok &= within[i] | (own[i] != own[j])
                 i, j = i[ok], j[ok]
                 if mode != "centres":
-                    bound = may_overlap(sketches[i], sketches[j])
+                    bound = bounds(sketches, i, j)
                     ok = 100 * bound >= percent * (n[i] + n[j] - bound)
                     i, j, bound = i[ok], j[ok], bound[ok]
                 if mode == "nearest" and len(i):
@@ -367,14 +388,21 @@ def fragments(texts: DataFrame, wanted: DataFrame, order, words: int, renamed: f
     def run(batches):
         for batch in batches:
             want, many = batch.column("want").to_pylist(), batch.column("many").to_pylist()
-            out = []
+            out, held = [], 0
             for k, e, _, found in _sets(batch, words, renamed):
                 if e in want[k]:
                     of = order.value.fragments(found)
                     out += [(e, f, found[of == f], e in many[k]) for f in np.unique(of).tolist()]
-            for i in range(0, len(out), 8192):
-                e, f, part, m = zip(*out[i : i + 8192], strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(e, pa.int64()), pa.array(f, pa.int32()), pa.array(part, pa.list_(pa.int64())), pa.array(m, pa.bool_())], names=["e", "f", "part", "many"])
+                    held += len(found)
+                if held >= TOGETHER:
+                    yield rows(out)
+                    out, held = [], 0
+            if out:
+                yield rows(out)
+
+    def rows(out):
+        e, f, part, m = zip(*out, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(e, pa.int64()), pa.array(f, pa.int32()), pa.array(part, pa.list_(pa.int64())), pa.array(m, pa.bool_())], names=["e", "f", "part", "many"])
 
     by_doc = wanted.groupBy("d").agg(F.collect_set("e").alias("want"), F.collect_set(F.when(F.col("many"), F.col("e"))).alias("many"))
     return among(texts.select("d", "t"), "d", wanted).join(growing(by_doc), "d").select("t", "want", "many").mapInArrow(run, "e long, f int, part array<long>, many boolean")
